@@ -34,4 +34,4 @@ def iso_week(d) -> Column:
 def parse_date(c, formats=("dd/MM/yyyy", "dd/MM/yy", "yyyy-MM-dd")) -> Column:
     """Text → DATE trying each format in turn; unparseable text becomes NULL."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])

@@ -22,9 +22,15 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
 
 
-def bounded_broadcast(df: DataFrame, known_rows: int | None = None,
+def bounded_broadcast(df: DataFrame, upper_bound: int | None = None,
                       max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    ``upper_bound`` is a row bound the caller already knows (for instance the
+    row count of the dimension that ``df`` filters); when it is missing or
+    above the limit, ``df`` itself is counted.
+    """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= limit else df
+    if upper_bound is not None and upper_bound <= limit:
+        return F.broadcast(df)
+    return F.broadcast(df) if df.count() <= limit else df

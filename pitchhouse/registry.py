@@ -1,7 +1,8 @@
 """Registered queries: name → callable(spark, sf_dir) → DataFrame.
 
-Each callable reads the driver tables in ``sf_dir`` (through the memoised gold
-build where it needs the star schema) and runs over the whole tables.
+Each callable reads the driver tables in ``sf_dir`` — through the memoised
+gold build where it needs the star schema, or the bridge's silver rows for
+the bronze/silver operators — and runs over the whole tables.
 """
 
 from __future__ import annotations
@@ -11,25 +12,112 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pitchhouse import oracle_sql as O
+from pitchhouse.functions.season import season_start_year_as_written
+from pitchhouse.operators.quality import row_count_integrity
 from pitchhouse.plans import analytics as A
-from pitchhouse.plans.warehouse import warehouse
+from pitchhouse.plans import bronze as B
+from pitchhouse.plans import dashboard as D
+from pitchhouse.plans import tests_spec as T
+from pitchhouse.plans.silver import bronze_view, silver_view
+from pitchhouse.plans.warehouse import Gold, warehouse
+from pitchhouse.sources.bridge import silver_from_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _gold(fn, **kw) -> QueryFn:
+def _gold(fn: Callable[..., DataFrame], *args, **kw) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(warehouse(spark, sf_dir), **kw)
-    run.__name__ = fn.__name__
+        return fn(warehouse(spark, sf_dir), *args, **kw)
     return run
 
 
+def _bronze(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(B.bronze_from_tables(silver_from_tables(spark, sf_dir)))
+    return run
+
+
+def _projection(b: DataFrame) -> DataFrame:
+    return bronze_view(b).drop("_loaded_at")
+
+
+def _silver(b: DataFrame) -> DataFrame:
+    return silver_view(bronze_view(b))
+
+
+def _dim_season_as_written(g: Gold) -> DataFrame:
+    return g.dim_season.select("season_id", "season_label",
+                               season_start_year_as_written("season_label").alias("start_year"),
+                               "end_year")
+
+
+def _integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return row_count_integrity(silver_from_tables(spark, sf_dir), warehouse(spark, sf_dir).fact)
+
+
+def _dirty_report(g: Gold) -> DataFrame:
+    tables = T.gold_tables(g)
+    tables["fact_matches"] = T.dirty_fact(g.fact)
+    return T.gold_test_report(g, tables=tables)
+
+
+TEAM, OPP, SEASON = O.TEAM, O.OPPONENT, O.SEASON
+
+
 def queries() -> dict[str, QueryFn]:
     return {
+        # bronze / silver
+        "bronze_union_by_name": _bronze(lambda b: b),
+        "season_from_filename": _bronze(B.season_from_file),
+        "bronze_projection": _bronze(_projection),
+        "silver_matches": _bronze(_silver),
+        "load_report": _bronze(B.load_report),
+        "completeness_by_season": _bronze(B.completeness),
+        "sample_rows": _bronze(B.sample_rows),
+        # gold tables
+        "dim_season": _gold(lambda g: g.dim_season),
+        "dim_season_as_written": _gold(_dim_season_as_written),
+        "dim_team": _gold(lambda g: g.dim_team),
+        "dim_date": _gold(lambda g: g.dim_date),
+        "fact_matches": _gold(lambda g: g.fact),
+        "role_playing_names": _gold(A.role_playing_names),
+        # analytic queries
+        "season_summary": _gold(A.season_summary),
         "team_performance": _gold(A.team_performance),
+        "home_away_advantage": _gold(A.home_away_advantage, O.MIN_MATCHES),
+        "monthly_goals": _gold(A.monthly_goals),
+        "top_team_seasons": _gold(A.top_team_seasons, O.TOP),
+        # dashboard frames
+        "league_overview": _gold(D.league_overview),
+        "latest_season_kpis": _gold(D.latest_season_kpis),
+        "result_distribution": _gold(D.result_distribution),
+        "team_match_log": _gold(D.team_match_log, TEAM),
+        "team_match_log_season": _gold(D.team_match_log, TEAM, SEASON),
+        "team_kpis": _gold(D.team_kpis, TEAM),
+        "team_result_breakdown": _gold(D.team_result_breakdown, TEAM),
+        "team_goals_by_season": _gold(D.team_goals_by_season, TEAM),
+        "team_venue_split": _gold(D.team_venue_split, TEAM),
+        "head_to_head": _gold(D.head_to_head, TEAM, OPP),
+        "head_to_head_season": _gold(D.head_to_head, TEAM, OPP, SEASON),
+        "head_to_head_as_written": _gold(D.head_to_head, TEAM, OPP, SEASON, as_written=True),
+        "head_to_head_summary": _gold(D.head_to_head_summary, TEAM, OPP),
+        "head_to_head_win_share": _gold(D.head_to_head_win_share, TEAM, OPP),
+        "head_to_head_avg_stats": _gold(D.head_to_head_avg_stats, TEAM, OPP),
+        "pick_list_teams": _gold(D.pick_list_teams),
+        "pick_list_seasons": _gold(D.pick_list_seasons),
+        # data quality
+        "row_count_integrity": _integrity,
+        "dq_unique": _gold(T.gold_test_report, ("unique",)),
+        "dq_not_null": _gold(T.gold_test_report, ("not_null",)),
+        "dq_accepted_values": _gold(T.gold_test_report, ("accepted_values",)),
+        "dq_report": _gold(T.gold_test_report),
+        "dq_report_dirty": _gold(_dirty_report),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     names = queries().keys()
     return {k: v for k, v in O.Q.items() if k in names}
+
+
+

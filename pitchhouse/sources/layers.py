@@ -34,8 +34,9 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
         writer.saveAsTable(name)
         return spark.table(name)
     writer.save(path)
-    out = spark.read.format(fmt).load(path)
-    # partition columns come back last; keep the written column order
+    # read with the written schema: partition column types are not re-inferred,
+    # and partition columns (stored last) return to their written position
+    out = spark.read.format(fmt).schema(df.schema).load(path)
     return out.select(*[f"`{c}`" for c in df.columns])
 
 
