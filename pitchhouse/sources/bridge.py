@@ -41,25 +41,29 @@ def silver_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = t("nation").select("n_nationkey", "n_name")
     # nation has a fixed 25 rows; the check still runs through the bound helper
     nation = bounded_broadcast(nation)
-    home = t("supplier").select("s_suppkey", "s_nationkey").join(
+    supplier, customer, part = t("supplier"), t("customer"), t("part")
+    # Key → attribute mappings.  Each is broadcast only while the row count of
+    # its base table (a Parquet-footer count, an upper bound of the mapping) is
+    # within the broadcast bound; beyond it the join is a sort-merge join.
+    home = bounded_broadcast(supplier.select("s_suppkey", "s_nationkey").join(
         nation.withColumnRenamed("n_nationkey", "s_nationkey").withColumnRenamed("n_name", "home_team"),
-        "s_nationkey").select("s_suppkey", "home_team")
-    away = t("customer").select("c_custkey", "c_nationkey").join(
+        "s_nationkey").select("s_suppkey", "home_team"), supplier.count())
+    away = bounded_broadcast(customer.select("c_custkey", "c_nationkey").join(
         nation.withColumnRenamed("n_nationkey", "c_nationkey").withColumnRenamed("n_name", "away_team"),
-        "c_nationkey").select("c_custkey", "away_team")
-    part = t("part").select("p_partkey", "p_size")
+        "c_nationkey").select("c_custkey", "away_team"), customer.count())
+    size = bounded_broadcast(part.select("p_partkey", "p_size"), part.count())
+    # orders grows with lineitem: no hint; Catalyst/AQE broadcast it only while
+    # its measured size is under spark.sql.autoBroadcastJoinThreshold.
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
 
     line = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                 "l_quantity", "l_discount", "l_tax", "l_returnflag",
                                 "l_linestatus")
-    # orders, customer, supplier and part grow with the data: no hint, Catalyst
-    # and AQE broadcast them only while their measured size allows.
     rows = (line
-            .join(orders, line.l_orderkey == orders.o_orderkey)
-            .join(away, F.col("o_custkey") == F.col("c_custkey"))
             .join(home, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey")))
+            .join(size, F.col("l_partkey") == F.col("p_partkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(away, F.col("o_custkey") == F.col("c_custkey")))
 
     od = F.col("o_orderdate")
     sy = F.when(F.month(od) >= SEASON_START_MONTH, F.year(od)).otherwise(F.year(od) - 1).cast("int")
