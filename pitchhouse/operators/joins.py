@@ -34,3 +34,38 @@ def bounded_broadcast(df: DataFrame, upper_bound: int | None = None,
     if upper_bound is not None and upper_bound <= limit:
         return F.broadcast(df)
     return F.broadcast(df) if df.count() <= limit else df
+
+
+def row_counts(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of several frames in one job (each side reads no columns,
+    so Parquet answers from its footers)."""
+    names = list(frames)
+    tagged = None
+    for name in names:
+        part = frames[name].select(F.lit(name).alias("t"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    got = {r["t"]: r["n"] for r in tagged.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {n: int(got.get(n, 0)) for n in names}
+
+
+def ordered(df: DataFrame, sort_cols: list, upper_bound: int | None = None,
+            max_rows: int | None = None) -> DataFrame:
+    """``df`` sorted by ``sort_cols``.
+
+    A result whose row count is bounded by a checked size (e.g. one row per
+    team or season) is sorted inside a single partition, which skips the
+    sampling job of a range-partitioned sort; anything else uses the
+    distributed ``orderBy``.
+    """
+    limit = max_rows if max_rows is not None else max_broadcast_rows(df)
+    if upper_bound is not None and upper_bound <= limit:
+        return df.coalesce(1).sortWithinPartitions(*sort_cols)
+    return df.orderBy(*sort_cols)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    partitions than there are cores (a small input of few Parquet row groups);
+    a large input already has more splits than cores and is returned as is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -3,20 +3,24 @@
 ``small_ids`` is the plain window; Spark moves all rows into one partition for
 it, so it is used only for inputs whose row count was checked.
 
-``dense_ids`` numbers any number of rows in two passes:
+``dense_ids`` numbers any number of rows:
 
 1. range-partition on the order (plus a row hash and a random salt, so that one
-   hot key or a large group of identical rows is still split over many
-   partitions), sort inside each partition and tag every row with its partition
-   id and position; checkpoint that frame to the reliable checkpoint folder,
-   because range bounds come from sampling and must not be recomputed;
-2. count rows per partition, turn the counts into offsets (one row per
-   partition, so the offset table is bounded by the partition count and is
-   broadcast), and add ``offset + position + 1``.
-
-Ties in the order are broken by the row hash and then at random; rows that tie
-on the full order are interchangeable only if they are identical, so callers
-that need stable numbering pass a total order.
+   hot key, or a large group of identical rows, is still split over many
+   partitions), sort inside each partition, and tag every row with its
+   partition id and position;
+2. write that frame as a table to the shared checkpoint folder — range bounds
+   come from sampling, so the tagging must be stored, never recomputed;
+3. count rows per partition from the stored table (one column read), turn the
+   counts into offsets — one row per partition, so the offset table is bounded
+   by the partition count, is written next to the rows and is broadcast — and
+   read the id as ``offset + position + 1``.
+
+The returned frame reads the stored rows; the id costs a broadcast hash join
+against the offsets, so the rows are written once.  Ties in the order are
+broken by the row hash and then at random; rows tying on the full order are
+interchangeable only if they are identical, so callers that need stable ids
+pass a total order.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from pitchhouse.functions.parity import asc
 from pitchhouse.operators.joins import max_broadcast_rows
-from pitchhouse.session import checkpoint_dir
+from pitchhouse.session import work_dir
 
 _PID, _POS, _TIE, _SALT, _N, _OFF = ("_ph_pid", "_ph_pos", "_ph_tie", "_ph_salt",
                                      "_ph_n", "_ph_off")
@@ -36,6 +40,18 @@ def _quoted(c: str):
     return F.col(f"`{c}`")
 
 
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back
+    (cuts the lineage; a lost executor re-reads instead of recomputing)."""
+    path = work_dir(df.sparkSession, name)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    return out.select(*[_quoted(c) for c in df.columns])
+
+
 def small_ids(df: DataFrame, order: list[str], id_col: str) -> DataFrame:
     """Plain window numbering; only for inputs of checked, small size."""
     w = Window.orderBy(*asc(*[_quoted(c) for c in order]))
@@ -43,40 +59,50 @@ def small_ids(df: DataFrame, order: list[str], id_col: str) -> DataFrame:
                      *[_quoted(c) for c in df.columns])
 
 
-def dense_ids(df: DataFrame, order: list[str], id_col: str,
-              num_partitions: int | None = None, seed: int = 17) -> DataFrame:
-    """Global 1-based numbering in ``order`` (NULLs last), distributed."""
+def dense_ids(df: DataFrame, order: list[str], id_col: str, keep: list[str] | None = None,
+              num_partitions: int | None = None, partition_by: list[str] | None = None,
+              name: str = "ids", seed: int = 17) -> DataFrame:
+    """Global 1-based numbering of ``df`` in ``order`` (NULLs last), distributed.
+
+    ``keep``: output columns besides the id (default: all).  ``partition_by``:
+    directory partitioning of the stored rows (e.g. a season key, for pruning).
+    """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
+    keep = keep or cols
     sort = asc(*[_quoted(c) for c in order]) + [F.col(_TIE).asc(), F.col(_SALT).asc()]
     keyed = df.select(*[_quoted(c) for c in cols],
                       F.xxhash64(*[_quoted(c) for c in cols]).alias(_TIE),
                       F.rand(seed).alias(_SALT))
     ranged = keyed.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     pid = F.spark_partition_id().cast("long")
-    tagged = ranged.select(*[_quoted(c) for c in cols], pid.alias(_PID),
+    tagged = ranged.select(*[_quoted(c) for c in keep], pid.alias(_PID),
                            (F.monotonically_increasing_id() - F.shiftleft(pid, 33)).alias(_POS))
-    tagged = tagged.checkpoint(eager=True)
+    stored = materialize(tagged, f"{name}-rows", partition_by)
 
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    counts = stored.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("long").alias(_OFF))
-    return tagged.join(F.broadcast(offsets), _PID).select(
-        (F.col(_OFF) + F.col(_POS) + F.lit(1)).alias(id_col), *[_quoted(c) for c in cols])
+    offsets = materialize(counts.select(
+        _PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("long").alias(_OFF)),
+        f"{name}-offsets")
+    return stored.join(F.broadcast(offsets), _PID).select(
+        (F.col(_OFF) + F.col(_POS) + F.lit(1)).alias(id_col), *[_quoted(c) for c in keep])
 
 
-def surrogate_ids(df: DataFrame, order: list[str], id_col: str) -> tuple[DataFrame, int]:
+def surrogate_ids(df: DataFrame, order: list[str], id_col: str, name: str = "dim",
+                  rows: int | None = None) -> tuple[DataFrame, int]:
     """Number ``df`` in ``order``; returns the numbered frame and its row count.
 
-    The input is checkpointed and counted first; up to the broadcast bound the
-    single-partition window is used (its size is proven by the count), beyond
-    it the distributed two-pass numbering.
+    Up to the broadcast bound the single-partition window is used (its size is
+    proven by the count), beyond it the distributed two-pass numbering.  A
+    caller that already stored and counted ``df`` passes ``rows``; otherwise
+    ``df`` is stored and counted here.
     """
-    checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
-    rows = materialised.count()
+    stored = df
+    if rows is None:
+        stored = materialize(df, name)
+        rows = stored.count()
     if rows <= max_broadcast_rows(df):
-        return small_ids(materialised, order, id_col), rows
-    return dense_ids(materialised, order, id_col), rows
+        return small_ids(stored, order, id_col), rows
+    return dense_ids(stored, order, id_col, name=name), rows

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchhouse.functions.parity import asc, desc, pct, ratio, round_half_away
-from pitchhouse.operators.joins import bounded_broadcast
+from pitchhouse.operators.joins import bounded_broadcast, ordered
 from pitchhouse.operators.teamview import team_view
 from pitchhouse.plans.warehouse import Gold
 
@@ -38,12 +38,12 @@ def _season_totals(fact: DataFrame, extra: dict | None = None) -> DataFrame:
 def season_summary(g: Gold) -> DataFrame:
     """Per season matches, goals, average goals, H/D/A counts, home win %."""
     t = _season_totals(g.fact).join(g.dim_season.select("season_id", "season_label"), "season_id")
-    return t.select(
+    return ordered(t.select(
         "season_label", "total_matches", "total_goals",
         round_half_away(ratio("total_goals", "_goal_rows"), 2).alias("avg_goals_per_match"),
         "home_wins", "draws", "away_wins",
         round_half_away(pct("home_wins", "_rows"), 1).alias("home_win_pct"),
-    ).orderBy(*asc("season_label"))
+    ), asc("season_label"), g.season_rows)
 
 
 def team_totals(g: Gold, keys=("team_id",)) -> DataFrame:
@@ -65,10 +65,10 @@ def _team_names(g: Gold) -> DataFrame:
 def team_performance(g: Gold) -> DataFrame:
     """All-time table per team, ordered by wins then goal difference."""
     t = team_totals(g).join(_team_names(g), "team_id")
-    return t.select(
+    return ordered(t.select(
         "team_name", "total_matches", "wins", "draws", "losses", "goals_scored",
         "goals_conceded", (F.col("goals_scored") - F.col("goals_conceded")).alias("goal_difference"),
-    ).orderBy(*desc("wins", "goal_difference"), *asc("team_name"))
+    ), desc("wins", "goal_difference") + asc("team_name"), g.team_rows)
 
 
 def home_away_advantage(g: Gold, min_matches: int = 30) -> DataFrame:
@@ -83,11 +83,11 @@ def home_away_advantage(g: Gold, min_matches: int = 30) -> DataFrame:
         F.count("match_id").alias("_matches"),
     ).where(F.col("_matches") >= min_matches)
     t = t.join(_team_names(g), "team_id")
-    return t.select(
+    return ordered(t.select(
         "team_name", "home_matches", "away_matches",
         round_half_away(pct("_home_wins", "home_matches"), 1).alias("home_win_pct"),
         round_half_away(pct("_away_wins", "away_matches"), 1).alias("away_win_pct"),
-    ).orderBy(*desc("home_win_pct"), *asc("team_name"))
+    ), desc("home_win_pct") + asc("team_name"), g.team_rows)
 
 
 def monthly_goals(g: Gold) -> DataFrame:
@@ -99,10 +99,10 @@ def monthly_goals(g: Gold) -> DataFrame:
     t = per_day.join(days, "date_id").groupBy("year", "month").agg(
         F.sum("n").alias("matches_played"), F.sum("g").alias("total_goals"),
         F.sum("gn").alias("_goal_rows"))
-    return t.select(
+    return ordered(t.select(
         "year", "month", "matches_played", "total_goals",
         round_half_away(ratio("total_goals", "_goal_rows"), 2).alias("avg_goals_per_match"),
-    ).orderBy(*asc("year", "month"))
+    ), asc("year", "month"), g.date_rows)
 
 
 def top_team_seasons(g: Gold, top: int = 3) -> DataFrame:
@@ -115,8 +115,9 @@ def top_team_seasons(g: Gold, top: int = 3) -> DataFrame:
     w = Window.partitionBy("season_label").orderBy(F.col("goals_scored").desc_nulls_last())
     ranked = per.select("season_label", "team_name", "goals_scored", "matches",
                         F.rank().over(w).cast("long").alias("rank_in_season"))
-    return ranked.where(F.col("rank_in_season") <= top).orderBy(
-        *asc("season_label", "rank_in_season", "team_name"))
+    return ordered(ranked.where(F.col("rank_in_season") <= top),
+                   asc("season_label", "rank_in_season", "team_name"),
+                   g.season_rows * g.team_rows)
 
 
 def role_playing_names(g: Gold) -> DataFrame:

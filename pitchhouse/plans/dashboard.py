@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pitchhouse.functions.parity import (asc, pct, ratio, round_half_away,
                                          round_half_even)
-from pitchhouse.operators.joins import bounded_broadcast
+from pitchhouse.operators.joins import bounded_broadcast, ordered
 from pitchhouse.operators.teamview import DRAW, LOSS, WIN, team_view
 from pitchhouse.plans.analytics import _season_totals
 from pitchhouse.plans.warehouse import Gold
@@ -32,13 +32,13 @@ def league_overview(g: Gold) -> DataFrame:
              "red_cards": F.sum(F.col("home_red_cards") + F.col("away_red_cards"))}
     t = _season_totals(g.fact, extra).join(g.dim_season.select("season_id", "season_label"),
                                            "season_id")
-    return t.select(
+    return ordered(t.select(
         "season_label", F.col("total_matches").alias("matches"), "total_goals",
         round_half_away(ratio("total_goals", "_goal_rows"), 2).alias("avg_goals"),
         "home_wins", "draws", "away_wins",
         round_half_away(pct("home_wins", "_rows"), 1).alias("home_win_pct"),
         "yellow_cards", "red_cards",
-    ).orderBy(*asc("season_label"))
+    ), asc("season_label"), g.season_rows)
 
 
 def latest_season_kpis(g: Gold) -> DataFrame:
@@ -110,10 +110,10 @@ def team_result_breakdown(g: Gold, team: str, season: str | None = None) -> Data
 def team_goals_by_season(g: Gold, team: str, season: str | None = None) -> DataFrame:
     """C11: goals for and against per season (NULL seasons dropped, sorted)."""
     log = team_match_log(g, team, season).where(F.col("season").isNotNull())
-    return log.groupBy("season").agg(
+    return ordered(log.groupBy("season").agg(
         F.coalesce(F.sum("gf"), F.lit(0)).cast("long").alias("goals_for"),
         F.coalesce(F.sum("ga"), F.lit(0)).cast("long").alias("goals_against"),
-    ).orderBy("season")
+    ), asc("season"), g.season_rows)
 
 
 def team_venue_split(g: Gold, team: str, season: str | None = None) -> DataFrame:
@@ -127,7 +127,7 @@ def team_venue_split(g: Gold, team: str, season: str | None = None) -> DataFrame
         F.coalesce(F.sum("gf"), F.lit(0)).cast("long").alias("goals_for"),
         F.coalesce(F.sum("ga"), F.lit(0)).cast("long").alias("goals_against"))
     win_pct = round_half_even(F.col("wins") / F.col("matches") * 100, 1)
-    return t.select("*", win_pct.alias("win_pct")).orderBy("venue")
+    return ordered(t.select("*", win_pct.alias("win_pct")), asc("venue"), 2)
 
 
 # ── Head to head ─────────────────────────────────────────────────────────────
@@ -239,9 +239,9 @@ def head_to_head_avg_stats(g: Gold, team_a: str, team_b: str, season: str | None
 # ── Pick lists ───────────────────────────────────────────────────────────────
 
 def pick_list_teams(g: Gold) -> DataFrame:
-    return g.dim_team.select("team_name").orderBy(*asc("team_name"))
+    return ordered(g.dim_team.select("team_name"), asc("team_name"), g.team_rows)
 
 
 def pick_list_seasons(g: Gold) -> DataFrame:
-    return g.dim_season.select("season_label").orderBy(*asc("season_label"))
+    return ordered(g.dim_season.select("season_label"), asc("season_label"), g.season_rows)
 

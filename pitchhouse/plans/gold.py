@@ -8,7 +8,10 @@ most one row per distinct value per task, whatever the fact size or skew.
 The fact joins its dimensions on natural keys (inner joins, as the reference:
 rows with an unmatched or NULL key drop) and is numbered with ``dense_ids`` in
 ``(match_date, home_team)`` order, extended by every other silver column so
-the numbering is total (rows tying on all of them are identical).
+the numbering is total (rows tying on all of them are identical).  The order
+is applied to the fact's own keys: ``date_id`` is monotone in the date and
+``team_id``/``season_id`` are assigned in name order, so ordering by them is
+ordering by the names — and the range shuffle carries integers, not text.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pitchhouse.functions.calendar import date_key, is_weekend, iso_week, weekda
 from pitchhouse.functions.season import (season_end_year, season_start_year,
                                          season_start_year_as_written)
 from pitchhouse.operators.joins import bounded_broadcast
-from pitchhouse.operators.keys import dense_ids, surrogate_ids
+from pitchhouse.operators.keys import dense_ids, materialize, surrogate_ids
 from pitchhouse.plans.silver import SILVER_COLUMNS
 
 FACT_ORDER = ["match_date", "home_team"] + [c for c in SILVER_COLUMNS
@@ -34,6 +37,10 @@ FACT_MEASURES = [
     "home_yellow_cards", "away_yellow_cards", "home_red_cards", "away_red_cards",
 ]
 FACT_COLUMNS = ["match_id", "season_id", "team_id_home", "team_id_away", "date_id", *FACT_MEASURES]
+# FACT_ORDER with each natural key replaced by its order-preserving surrogate
+_KEY_FOR = {"match_date": "date_id", "home_team": "team_id_home", "season": "season_id",
+            "away_team": "team_id_away"}
+FACT_KEY_ORDER = [_KEY_FOR.get(c, c) for c in FACT_ORDER]
 
 
 @dataclass
@@ -43,6 +50,7 @@ class Dimensions:
     date: DataFrame
     season_rows: int
     team_rows: int
+    date_rows: int
 
 
 def dimension_values(silver: DataFrame) -> DataFrame:
@@ -55,23 +63,24 @@ def dimension_values(silver: DataFrame) -> DataFrame:
     return silver.select(F.inline(pairs)).distinct()
 
 
-def dim_season_from(labels: DataFrame, as_written: bool = False) -> tuple[DataFrame, int]:
+def dim_season_from(labels: DataFrame, as_written: bool = False,
+                    rows: int | None = None) -> tuple[DataFrame, int]:
     """``labels`` has one column ``season_label`` (distinct).
 
     ``start_year`` is the label's first four characters; ``as_written=True``
     keeps the reference's ``'20' || LEFT(label, 2)``, which is 2020 for every
     20xx season.
     """
-    numbered, rows = surrogate_ids(labels, ["season_label"], "season_id")
+    numbered, rows = surrogate_ids(labels, ["season_label"], "season_id", "dim_season", rows)
     start = season_start_year_as_written if as_written else season_start_year
     return numbered.select("season_id", "season_label",
                            start("season_label").alias("start_year"),
                            season_end_year("season_label").alias("end_year")), rows
 
 
-def dim_team_from(names: DataFrame) -> tuple[DataFrame, int]:
+def dim_team_from(names: DataFrame, rows: int | None = None) -> tuple[DataFrame, int]:
     """``names`` has one column ``team_name`` (distinct, NULL kept as a value)."""
-    numbered, rows = surrogate_ids(names, ["team_name"], "team_id")
+    numbered, rows = surrogate_ids(names, ["team_name"], "team_id", "dim_team", rows)
     return numbered.select("team_id", "team_name"), rows
 
 
@@ -85,14 +94,17 @@ def dim_date_from(dates: DataFrame) -> DataFrame:
 
 
 def build_dimensions(silver: DataFrame, season_as_written: bool = False) -> Dimensions:
-    values = dimension_values(silver).checkpoint(eager=True)
+    values = materialize(dimension_values(silver), "dimension-values")
+    sizes = {r["kind"]: r["n"] for r in values.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     kind, value = F.col("kind"), F.col("value")
     season, season_rows = dim_season_from(
-        values.where(kind == "season").select(value.alias("season_label")), season_as_written)
-    team, team_rows = dim_team_from(values.where(kind == "team").select(value.alias("team_name")))
+        values.where(kind == "season").select(value.alias("season_label")), season_as_written,
+        sizes.get("season", 0))
+    team, team_rows = dim_team_from(values.where(kind == "team").select(value.alias("team_name")),
+                                    sizes.get("team", 0))
     date = dim_date_from(values.where((kind == "date") & value.isNotNull())
                          .select(value.cast("date").alias("full_date")))
-    return Dimensions(season, team, date, season_rows, team_rows)
+    return Dimensions(season, team, date, season_rows, team_rows, sizes.get("date", 0))
 
 
 def dim_season(silver: DataFrame, as_written: bool = False) -> DataFrame:
@@ -114,8 +126,12 @@ def dim_date(silver: DataFrame) -> DataFrame:
 
 def fact_matches(silver: DataFrame, season: DataFrame, team: DataFrame,
                  season_rows: int | None = None, team_rows: int | None = None,
-                 order: list[str] | None = None) -> DataFrame:
-    """The fact table: surrogate key, four foreign keys, 18 measures/codes."""
+                 order: list[str] | None = None,
+                 partition_by: list[str] | None = ("season_id",)) -> DataFrame:
+    """The fact table: surrogate key, four foreign keys, 18 measures/codes.
+
+    The rows are stored (partitioned by ``season_id``) by the numbering pass.
+    """
     ds = bounded_broadcast(season.select("season_id", F.col("season_label").alias("season")),
                            season_rows)
     home = bounded_broadcast(team.select(F.col("team_id").alias("team_id_home"),
@@ -123,8 +139,9 @@ def fact_matches(silver: DataFrame, season: DataFrame, team: DataFrame,
     away = bounded_broadcast(team.select(F.col("team_id").alias("team_id_away"),
                                          F.col("team_name").alias("away_team")), team_rows)
     joined = (silver.join(ds, "season").join(home, "home_team").join(away, "away_team")
-              .withColumn("date_id", date_key("match_date")))
-    numbered = dense_ids(joined.select(*SILVER_COLUMNS, "season_id", "team_id_home",
-                                       "team_id_away", "date_id"),
-                         order or FACT_ORDER, "match_id")
+              .select(*FACT_COLUMNS[1:4], date_key("match_date").alias("date_id"),
+                      "match_time", *FACT_MEASURES))
+    numbered = dense_ids(joined, order or FACT_KEY_ORDER, "match_id", keep=FACT_COLUMNS[1:],
+                         partition_by=list(partition_by) if partition_by else None,
+                         name="fact_matches")
     return numbered.select(*FACT_COLUMNS)

@@ -1,7 +1,7 @@
 """Build and hold the gold layer.
 
 ``build_gold`` runs the reference's model DAG in dependency order: the three
-dimensions from one silver pass, then the fact.  Each gold table is written as
+dimensions from one silver pass, then the fact.  Each gold table is stored as
 Parquet under the session's checkpoint folder (the fact partitioned by
 ``season_id``, so a season filter joined through ``dim_season`` prunes files
 by dynamic partition pruning) and read back, so every analytic query starts
@@ -15,9 +15,9 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from pitchhouse.operators.keys import materialize
 from pitchhouse.plans import gold as G
 from pitchhouse.session import work_dir
 from pitchhouse.sources.layers import write_table
@@ -31,24 +31,22 @@ class Gold:
     fact: DataFrame
     season_rows: int
     team_rows: int
-    source_rows: int
+    date_rows: int
 
 
 def build_gold(silver: DataFrame, name: str = "gold") -> Gold:
     spark = silver.sparkSession
     root = work_dir(spark, name)
-    silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        dims = G.build_dimensions(silver)
-        season = write_table(dims.season, path=f"{root}/dim_season")
-        team = write_table(dims.team, path=f"{root}/dim_team")
-        date = write_table(dims.date, path=f"{root}/dim_date")
-        fact = G.fact_matches(silver, season, team, dims.season_rows, dims.team_rows)
-        fact = write_table(fact, path=f"{root}/fact_matches", partition_by=["season_id"])
-        source_rows = silver.count()
-    finally:
-        silver.unpersist()
-    return Gold(season, team, date, fact, dims.season_rows, dims.team_rows, source_rows)
+    # silver is read twice (dimension values: four columns; fact: all), so it
+    # is stored once instead of recomputed or cached in executor memory
+    silver = materialize(silver, "silver")
+    dims = G.build_dimensions(silver)
+    season = write_table(dims.season, path=f"{root}/dim_season")
+    team = write_table(dims.team, path=f"{root}/dim_team")
+    date = write_table(dims.date, path=f"{root}/dim_date")
+    # stored by the numbering pass, partitioned by season_id
+    fact = G.fact_matches(silver, season, team, dims.season_rows, dims.team_rows)
+    return Gold(season, team, date, fact, dims.season_rows, dims.team_rows, dims.date_rows)
 
 
 _LOCK = threading.Lock()

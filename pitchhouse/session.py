@@ -38,6 +38,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "8g"  # local mode: the driver JVM holds the executors
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
