@@ -40,6 +40,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = "8g"  # local mode: the driver JVM holds the executors
+        # a fresh catalog folder: the local catalog is per session, its files are not
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="pitchhouse-warehouse-")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

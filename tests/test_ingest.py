@@ -71,3 +71,24 @@ def test_table_write_is_idempotent(spark, raw_dir, tmp_dir):
     first = sorted(map(tuple, write_table(bronze, path=path).collect()))
     second = sorted(map(tuple, write_table(bronze, path=path).collect()))
     assert first == second and len(first) == 3
+
+
+def test_catalog_table_and_view(spark, raw_dir):
+    from pitchhouse.sources.layers import create_view
+    bronze = land_csv(spark, os.path.join(raw_dir, "*.csv")).drop("_loaded_at")
+    first = write_table(bronze, name="bronze.matches_raw").count()
+    assert spark.catalog.databaseExists("bronze")
+    again = write_table(bronze, name="bronze.matches_raw")  # CREATE OR REPLACE
+    assert first == again.count() == 3
+    create_view(spark, silver_view(bronze_view(spark.table("bronze.matches_raw"))), "silver.silver_matches")
+    assert spark.table("silver_silver_matches").count() == 3
+
+
+def test_optional_silver_cleaning(spark):
+    rows = [("SP1", "12/08/2022", "20:00", " Girona ", "Barcelona", "1", "2", "A", "2022-23")] * 2
+    df = spark.createDataFrame(rows, "Div string, Date string, Time string, HomeTeam string, "
+                                     "AwayTeam string, FTHG string, FTAG string, FTR string, season string")
+    plain = silver_view(bronze_view(df))
+    clean = silver_view(bronze_view(df), dedupe=True, trim_text=True)
+    assert plain.count() == 2 and clean.count() == 1
+    assert clean.first()["home_team"] == "Girona"

@@ -40,3 +40,10 @@ def test_fact_read_has_no_single_partition_exchange(gold):
     # the gold fact is written and read back; aggregations over it shuffle by key only
     p = plan(A.team_performance(gold))
     assert "SinglePartition" not in p
+
+
+def test_season_filter_prunes_fact_partitions(gold):
+    df = D.team_match_log(gold, "NATION_3", "1997-98")
+    df.collect()
+    p = plan(df)
+    assert "dynamicpruningexpression(season_id" in p
