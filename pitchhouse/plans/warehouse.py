@@ -32,6 +32,7 @@ class Gold:
     season_rows: int
     team_rows: int
     date_rows: int
+    silver: DataFrame | None = None  # the stored silver rows the build read
 
 
 def build_gold(silver: DataFrame, name: str = "gold") -> Gold:
@@ -46,7 +47,7 @@ def build_gold(silver: DataFrame, name: str = "gold") -> Gold:
     date = write_table(dims.date, path=f"{root}/dim_date")
     # stored by the numbering pass, partitioned by season_id
     fact = G.fact_matches(silver, season, team, dims.season_rows, dims.team_rows)
-    return Gold(season, team, date, fact, dims.season_rows, dims.team_rows, dims.date_rows)
+    return Gold(season, team, date, fact, dims.season_rows, dims.team_rows, dims.date_rows, silver)
 
 
 _LOCK = threading.Lock()

@@ -20,7 +20,6 @@ from pitchhouse.plans import dashboard as D
 from pitchhouse.plans import tests_spec as T
 from pitchhouse.plans.silver import bronze_view, silver_view
 from pitchhouse.plans.warehouse import Gold, warehouse
-from pitchhouse.sources.bridge import silver_from_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +31,9 @@ def _gold(fn: Callable[..., DataFrame], *args, **kw) -> QueryFn:
 
 
 def _bronze(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
+    """Bronze operators over the source rendering of the (stored) bridge silver."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(B.bronze_from_tables(silver_from_tables(spark, sf_dir)))
+        return fn(B.bronze_from_tables(warehouse(spark, sf_dir).silver))
     return run
 
 
@@ -52,7 +52,8 @@ def _dim_season_as_written(g: Gold) -> DataFrame:
 
 
 def _integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_count_integrity(silver_from_tables(spark, sf_dir), warehouse(spark, sf_dir).fact)
+    g = warehouse(spark, sf_dir)
+    return row_count_integrity(g.silver, g.fact)
 
 
 def _dirty_report(g: Gold) -> DataFrame:
