@@ -5,10 +5,14 @@ it, so it is used only for inputs whose row count was checked.
 
 ``dense_ids`` numbers any number of rows:
 
-1. range-partition on the order (plus a row hash and a random salt, so that one
-   hot key, or a large group of identical rows, is still split over many
-   partitions), sort inside each partition, and tag every row with its
-   partition id and position;
+1. range-partition on the order, sort inside each partition, and tag every
+   row with its partition id and position.  The order ends in a unique
+   column (``tiebreak``: a row identity stored with the input), so it is
+   total: one hot key, or a large group of identical rows, is still split
+   over many partitions, and the partitioning is deterministic, so a lost
+   executor's map output is recomputed identically.  Without a ``tiebreak``
+   a row hash and a random salt are appended instead (still splits hot
+   groups, but a lost map task then forces the whole stage to re-run);
 2. write that frame as a table to the shared checkpoint folder — range bounds
    come from sampling, so the tagging must be stored, never recomputed;
 3. count rows per partition from the stored table (one column read), turn the
@@ -40,10 +44,17 @@ def _quoted(c: str):
     return F.col(f"`{c}`")
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                row_id: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back
-    (cuts the lineage; a lost executor re-reads instead of recomputing)."""
+    (cuts the lineage; a lost executor re-reads instead of recomputing).
+
+    ``row_id`` adds a unique long column (partition id and position at write
+    time); once stored it is a fixed row identity for later total orders.
+    """
     path = work_dir(df.sparkSession, name)
+    if row_id:
+        df = df.withColumn(row_id, F.monotonically_increasing_id())
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -61,20 +72,25 @@ def small_ids(df: DataFrame, order: list[str], id_col: str) -> DataFrame:
 
 def dense_ids(df: DataFrame, order: list[str], id_col: str, keep: list[str] | None = None,
               num_partitions: int | None = None, partition_by: list[str] | None = None,
-              name: str = "ids", seed: int = 17) -> DataFrame:
+              name: str = "ids", tiebreak: str | None = None, seed: int = 17) -> DataFrame:
     """Global 1-based numbering of ``df`` in ``order`` (NULLs last), distributed.
 
     ``keep``: output columns besides the id (default: all).  ``partition_by``:
     directory partitioning of the stored rows (e.g. a season key, for pruning).
+    ``tiebreak``: a unique, stored column that ends the order.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
-    keep = keep or cols
-    sort = asc(*[_quoted(c) for c in order]) + [F.col(_TIE).asc(), F.col(_SALT).asc()]
-    keyed = df.select(*[_quoted(c) for c in cols],
-                      F.xxhash64(*[_quoted(c) for c in cols]).alias(_TIE),
-                      F.rand(seed).alias(_SALT))
+    keep = keep or [c for c in cols if c != tiebreak]
+    if tiebreak:
+        sort = asc(*[_quoted(c) for c in order]) + [_quoted(tiebreak).asc()]
+        keyed = df
+    else:
+        sort = asc(*[_quoted(c) for c in order]) + [F.col(_TIE).asc(), F.col(_SALT).asc()]
+        keyed = df.select(*[_quoted(c) for c in cols],
+                          F.xxhash64(*[_quoted(c) for c in cols]).alias(_TIE),
+                          F.rand(seed).alias(_SALT))
     ranged = keyed.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     pid = F.spark_partition_id().cast("long")
     tagged = ranged.select(*[_quoted(c) for c in keep], pid.alias(_PID),

@@ -127,11 +127,15 @@ def dim_date(silver: DataFrame) -> DataFrame:
 def fact_matches(silver: DataFrame, season: DataFrame, team: DataFrame,
                  season_rows: int | None = None, team_rows: int | None = None,
                  order: list[str] | None = None,
-                 partition_by: list[str] | None = ("season_id",)) -> DataFrame:
+                 partition_by: list[str] | None = ("season_id",),
+                 row_id: str | None = "_row") -> DataFrame:
     """The fact table: surrogate key, four foreign keys, 18 measures/codes.
 
     The rows are stored (partitioned by ``season_id``) by the numbering pass.
+    ``row_id``: a unique column of the stored silver rows that ends the
+    numbering order (``None`` if ``silver`` has none).
     """
+    row_id = row_id if row_id in silver.columns else None
     ds = bounded_broadcast(season.select("season_id", F.col("season_label").alias("season")),
                            season_rows)
     home = bounded_broadcast(team.select(F.col("team_id").alias("team_id_home"),
@@ -140,8 +144,8 @@ def fact_matches(silver: DataFrame, season: DataFrame, team: DataFrame,
                                          F.col("team_name").alias("away_team")), team_rows)
     joined = (silver.join(ds, "season").join(home, "home_team").join(away, "away_team")
               .select(*FACT_COLUMNS[1:4], date_key("match_date").alias("date_id"),
-                      "match_time", *FACT_MEASURES))
+                      "match_time", *FACT_MEASURES, *([row_id] if row_id else [])))
     numbered = dense_ids(joined, order or FACT_KEY_ORDER, "match_id", keep=FACT_COLUMNS[1:],
                          partition_by=list(partition_by) if partition_by else None,
-                         name="fact_matches")
+                         name="fact_matches", tiebreak=row_id)
     return numbered.select(*FACT_COLUMNS)

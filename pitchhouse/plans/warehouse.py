@@ -39,8 +39,9 @@ def build_gold(silver: DataFrame, name: str = "gold") -> Gold:
     spark = silver.sparkSession
     root = work_dir(spark, name)
     # silver is read twice (dimension values: four columns; fact: all), so it
-    # is stored once instead of recomputed or cached in executor memory
-    silver = materialize(silver, "silver")
+    # is stored once instead of recomputed or cached in executor memory; the
+    # stored row identity ends the fact's numbering order
+    silver = materialize(silver, "silver", row_id="_row")
     dims = G.build_dimensions(silver)
     season = write_table(dims.season, path=f"{root}/dim_season")
     team = write_table(dims.team, path=f"{root}/dim_team")
