@@ -143,6 +143,11 @@ bronze AS (
 BRONZE_PREFIX = "WITH " + SILVER_CTE.strip() + BRONZE_CTES
 
 Q["bronze_union_by_name"] = BRONZE_PREFIX + "SELECT * FROM bronze"
+# the same rows after a CSV round trip through files; the season is derived
+# again from the file name by the loader's rule ('20' || YY, so 95-96 → 2095-96)
+_SEASON_RULE = """'20' || split_part(replace(replace(_source_file, 'LaLiga ', ''), '.csv', ''), '-', 1)
+       || '-' || split_part(replace(replace(_source_file, 'LaLiga ', ''), '.csv', ''), '-', 2)"""
+Q["bronze_csv_landing"] = BRONZE_PREFIX + f"SELECT * REPLACE ({_SEASON_RULE} AS season) FROM bronze"
 
 Q["season_from_filename"] = BRONZE_PREFIX + """
 SELECT _source_file,

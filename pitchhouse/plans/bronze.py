@@ -85,3 +85,14 @@ def sample_rows(bronze: DataFrame, n: int = 5) -> DataFrame:
     break ties so the sample is deterministic."""
     return bronze.select(*[_q(c) for c in SAMPLE_COLUMNS]).orderBy(
         *[_q(c).asc_nulls_last() for c in SAMPLE_COLUMNS]).limit(n)
+
+
+def write_source_files(silver: DataFrame, root: str) -> str:
+    """Write both source generations as CSV files with header lines, one
+    folder per source file (``<root>/<gen>/_source_file=LaLiga YY-YY.csv/``),
+    and return the glob that matches them.  The season is not written: the
+    loader derives it from the file name, as for the reference's files."""
+    for gen, frame in zip(("old", "new"), evolving_source(silver)):
+        (frame.drop("season").write.mode("overwrite").option("header", True)
+         .partitionBy("_source_file").csv(f"{root}/{gen}"))
+    return f"{root}/*/*/*.csv"

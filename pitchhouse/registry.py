@@ -20,6 +20,8 @@ from pitchhouse.plans import dashboard as D
 from pitchhouse.plans import tests_spec as T
 from pitchhouse.plans.silver import bronze_view, silver_view
 from pitchhouse.plans.warehouse import Gold, warehouse
+from pitchhouse.session import work_dir
+from pitchhouse.sources.csv_bronze import land_csv
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +39,13 @@ def _bronze(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return run
 
 
+def _csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source rows written as real CSV files (two header generations), then
+    landed by header group and merged by column name."""
+    pattern = B.write_source_files(warehouse(spark, sf_dir).silver, work_dir(spark, "raw-csv"))
+    return land_csv(spark, pattern, source_name="directory").drop("_loaded_at")
+
+
 def _projection(b: DataFrame) -> DataFrame:
     return bronze_view(b).drop("_loaded_at")
 
@@ -69,6 +78,7 @@ def queries() -> dict[str, QueryFn]:
     return {
         # bronze / silver
         "bronze_union_by_name": _bronze(lambda b: b),
+        "bronze_csv_landing": _csv_landing,
         "season_from_filename": _bronze(B.season_from_file),
         "bronze_projection": _bronze(_projection),
         "silver_matches": _bronze(_silver),

@@ -21,6 +21,7 @@ import csv
 import functools
 import glob as _glob
 import io
+import os
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,20 +36,24 @@ class NoSourceFiles(FileNotFoundError):
 
 
 def list_files(pattern: str) -> list[str]:
-    """Files matching ``pattern``, sorted (local paths or ``scheme://`` URIs)."""
+    """Files matching ``pattern``, sorted (local paths or ``scheme://`` URIs;
+    wildcards may appear in folder components too)."""
+    if pattern.startswith("file:"):  # local URI (file:/x or file:///x)
+        pattern = "/" + pattern[len("file:"):].lstrip("/")
     if "://" not in pattern:
-        return sorted(_glob.glob(pattern))
+        return sorted(p for p in _glob.glob(pattern) if os.path.isfile(p))
     import fnmatch
-    import posixpath
 
     from pyarrow import fs
-    filesystem, path = fs.FileSystem.from_uri(pattern.split("*")[0].rsplit("/", 1)[0] + "/")
-    scheme = pattern.split("://", 1)[0]
-    base = path.rstrip("/")
-    infos = filesystem.get_file_info(fs.FileSelector(base, recursive=False))
-    tail = pattern.rsplit("/", 1)[1]
-    return sorted(f"{scheme}://{i.path}" for i in infos
-                  if i.type == fs.FileType.File and fnmatch.fnmatch(posixpath.basename(i.path), tail))
+    scheme, rest = pattern.split("://", 1)
+    static = rest[:rest.index("*")] if "*" in rest else rest
+    base = static.rsplit("/", 1)[0]
+    filesystem, base_path = fs.FileSystem.from_uri(f"{scheme}://{base}")
+    base_path = base_path.rstrip("/")
+    wanted = base_path + rest[len(base):]
+    infos = filesystem.get_file_info(fs.FileSelector(base_path, recursive=True))
+    return sorted(f"{scheme}://{base}{i.path[len(base_path):]}" for i in infos
+                  if i.type == fs.FileType.File and fnmatch.fnmatch(i.path, wanted))
 
 
 def _header_batches(batches):
@@ -82,11 +87,25 @@ def _columns(header: str) -> list[str]:
     return next(csv.reader(io.StringIO(header)))
 
 
-def land_csv(spark: SparkSession, pattern: str) -> DataFrame:
+def _source_name(source_name: str):
+    if source_name == "file":
+        return F.url_decode(F.col("_metadata.file_name"))
+    if source_name == "directory":
+        # files written by a partitioned writer: <dir>/<key=value>/part-*.csv;
+        # the logical source file is the partition value
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+        return F.url_decode(F.regexp_replace(folder, r"^[^=]*=", ""))
+    raise ValueError(f"source_name must be 'file' or 'directory', not {source_name!r}")
+
+
+def land_csv(spark: SparkSession, pattern: str, source_name: str = "file") -> DataFrame:
     """Read all files matching ``pattern`` into one all-text DataFrame.
 
     Columns: the union of all file columns (first-seen order), then
-    ``season``, ``_source_file`` and ``_loaded_at``.
+    ``season``, ``_source_file`` and ``_loaded_at``.  ``source_name`` says
+    where the source file name (and so the season) comes from: the file
+    itself (``LaLiga 22-23.csv``) or, for the part files of a partitioned
+    writer, their partition folder (``_source_file=LaLiga 22-23.csv/``).
     """
     paths = list_files(pattern)
     if not paths:
@@ -94,7 +113,7 @@ def land_csv(spark: SparkSession, pattern: str) -> DataFrame:
     groups = (read_headers(spark, paths).groupBy("header")
               .agg(F.sort_array(F.collect_list("path")).alias("paths"))
               .orderBy(F.element_at("paths", 1)).collect())
-    file_name = F.url_decode(F.col("_metadata.file_name"))
+    file_name = _source_name(source_name)
     frames = []
     for g in groups:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in _columns(g["header"])])
