@@ -128,12 +128,13 @@ def fact_matches(silver: DataFrame, season: DataFrame, team: DataFrame,
                  season_rows: int | None = None, team_rows: int | None = None,
                  order: list[str] | None = None,
                  partition_by: list[str] | None = ("season_id",),
-                 row_id: str | None = "_row") -> DataFrame:
+                 row_id: str | None = "_row", silver_rows: int | None = None) -> DataFrame:
     """The fact table: surrogate key, four foreign keys, 18 measures/codes.
 
     The rows are stored (partitioned by ``season_id``) by the numbering pass.
     ``row_id``: a unique column of the stored silver rows that ends the
-    numbering order (``None`` if ``silver`` has none).
+    numbering order (``None`` if ``silver`` has none).  ``silver_rows`` bounds
+    the fact's size and sizes the numbering shuffle.
     """
     row_id = row_id if row_id in silver.columns else None
     ds = bounded_broadcast(season.select("season_id", F.col("season_label").alias("season")),
@@ -147,5 +148,5 @@ def fact_matches(silver: DataFrame, season: DataFrame, team: DataFrame,
                       "match_time", *FACT_MEASURES, *([row_id] if row_id else [])))
     numbered = dense_ids(joined, order or FACT_KEY_ORDER, "match_id", keep=FACT_COLUMNS[1:],
                          partition_by=list(partition_by) if partition_by else None,
-                         name="fact_matches", tiebreak=row_id)
+                         name="fact_matches", tiebreak=row_id, rows=silver_rows)
     return numbered.select(*FACT_COLUMNS)

@@ -42,12 +42,14 @@ def build_gold(silver: DataFrame, name: str = "gold") -> Gold:
     # is stored once instead of recomputed or cached in executor memory; the
     # stored row identity ends the fact's numbering order
     silver = materialize(silver, "silver", row_id="_row")
+    silver_rows = silver.count()  # Parquet footers only; sizes the fact's numbering
     dims = G.build_dimensions(silver)
     season = write_table(dims.season, path=f"{root}/dim_season")
     team = write_table(dims.team, path=f"{root}/dim_team")
     date = write_table(dims.date, path=f"{root}/dim_date")
     # stored by the numbering pass, partitioned by season_id
-    fact = G.fact_matches(silver, season, team, dims.season_rows, dims.team_rows)
+    fact = G.fact_matches(silver, season, team, dims.season_rows, dims.team_rows,
+                          silver_rows=silver_rows)
     return Gold(season, team, date, fact, dims.season_rows, dims.team_rows, dims.date_rows, silver)
 
 

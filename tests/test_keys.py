@@ -48,3 +48,19 @@ def test_small_ids_and_size_check(spark):
         (1, "a"), (2, "b"), (3, None)]
     numbered, n = surrogate_ids(df, ["name"], "id")
     assert n == 3 and numbered.count() == 3
+
+
+def test_range_partitions_grow_with_rows(spark):
+    from pitchhouse.operators.keys import range_partitions
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_partitions(spark, None) == base
+    assert range_partitions(spark, 10) == base
+    assert range_partitions(spark, 10**12) == 10**12 // 4_000_000
+    spark.conf.set("pitchhouse.keys.rowsPerPartition", "10")
+    try:
+        assert range_partitions(spark, 1000) == max(base, 100)
+        df = spark.range(1000).withColumnRenamed("id", "v")
+        out = dense_ids(df, ["v"], "id", rows=1000)
+        assert sorted(r["id"] for r in out.collect()) == list(range(1, 1001))
+    finally:
+        spark.conf.unset("pitchhouse.keys.rowsPerPartition")
