@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference loads its sources as a full refresh (every run replaces the
+bronze table from all files) and has no incremental, windowed or stateful
+processing, so there is no Structured Streaming job to rebuild.  Loads are
+idempotent batch writes (``sources.layers.write_table``, overwrite mode).
+"""
