@@ -130,3 +130,16 @@ def test_matches_reference_sql_on_edge_rows(gold, name):
     expected = con.execute(sql).df()
     got = ORACLE_ON_FIXTURE[name](gold).toPandas()
     assert diff(got, expected, nullable_ints=True) == []
+
+
+def test_empty_results(gold):
+    k = D.team_kpis(gold, "Nobody").first()
+    assert (k["matches"], k["wins"], k["goals_for"], k["goal_diff"]) == (0, 0, 0, 0)
+    assert D.team_match_log(gold, "Nobody").count() == 0
+    assert D.team_goals_by_season(gold, "Nobody").count() == 0
+    assert D.head_to_head(gold, "Barcelona", "Nobody").count() == 0
+    s = D.head_to_head_summary(gold, "Barcelona", "Nobody").first()
+    assert (s["meetings"], s["wins_a"], s["goals_a"]) == (0, 0, 0)
+    stats = D.head_to_head_avg_stats(gold, "Barcelona", "Nobody").collect()
+    assert len(stats) == 8 and all(r["value"] is None for r in stats)
+    assert A.home_away_advantage(gold, min_matches=1000).count() == 0
