@@ -473,7 +473,7 @@ SELECT (SELECT COUNT(*) FROM silver) AS bronze_rows,
 
 
 def _dq_rows(kinds, fact_table: str = "fact_matches") -> str:
-    from pitchhouse.plans.tests_spec import GOLD_TESTS
+    from pitchhouse.plans.data_tests import GOLD_TESTS
     rows = []
     for table, uniq, not_null, accepted in GOLD_TESTS:
         src = fact_table if table == "fact_matches" else table

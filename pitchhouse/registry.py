@@ -17,7 +17,7 @@ from pitchhouse.operators.quality import row_count_integrity
 from pitchhouse.plans import analytics as A
 from pitchhouse.plans import bronze as B
 from pitchhouse.plans import dashboard as D
-from pitchhouse.plans import tests_spec as T
+from pitchhouse.plans import data_tests as T
 from pitchhouse.plans.silver import bronze_view, silver_view
 from pitchhouse.plans.warehouse import Gold, warehouse
 from pitchhouse.session import work_dir

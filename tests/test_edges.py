@@ -7,7 +7,7 @@ import pytest
 from pitchhouse import oracle_sql as O
 from pitchhouse.plans import analytics as A
 from pitchhouse.plans import dashboard as D
-from pitchhouse.plans import tests_spec as T
+from pitchhouse.plans import data_tests as T
 from pitchhouse.plans.warehouse import build_gold
 from tests.compare import diff
 from tests.fixtures import arrow_table, silver_df
