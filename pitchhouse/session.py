@@ -85,3 +85,29 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables, under the checkpoint dir."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pitchhouse`` importable in the executors' Python workers (needed
+    by the few Arrow-batched Python steps, e.g. the CSV header read): zip the
+    package once per application and hand it to ``SparkContext.addPyFile``,
+    which distributes it with the job."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="pitchhouse-pyfiles-"), "pitchhouse.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

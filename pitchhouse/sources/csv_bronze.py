@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchhouse.functions.season import season_from_filename
+from pitchhouse.session import ship_package
 
 
 class NoSourceFiles(FileNotFoundError):
@@ -78,6 +79,7 @@ def _header_batches(batches):
 
 def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, header line) for every file, read by the executors."""
+    ship_package(spark)
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
     return files.mapInPandas(_header_batches, "path string, header string")
