@@ -1,9 +1,14 @@
-"""Size-checked broadcast.
-
-A side is broadcast only when its row count is known to be within a bound
-(either passed in by a caller that already counted it, or counted here).
-Beyond the bound the plain join is left to Catalyst/AQE, which picks a
-sort-merge or shuffled-hash join and splits skewed partitions at run time.
+"""Size-driven physical choices: broadcast, sort, input spread.
+
+* ``bounded_broadcast`` – a side is broadcast only when its row count is
+  known to be within a bound (passed in by a caller that already counted it,
+  or counted here).  Beyond the bound the plain join is left to Catalyst/AQE,
+  which picks a sort-merge or shuffled-hash join and splits skewed partitions
+  at run time.
+* ``row_counts`` – several footer-only counts in one job.
+* ``ordered`` – a single-partition sort for results of proven small size,
+  the distributed ``orderBy`` otherwise.
+* ``spread`` – round-robin a scan with fewer splits than cores.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchhouse.operators.joins import bounded_broadcast, row_counts, spread
+from pitchhouse.operators.joins import (bounded_broadcast, max_broadcast_rows, row_counts,
+                                       spread)
 from pitchhouse.plans.silver import SILVER_COLUMNS, SOURCE_TO_SILVER
 
 # Fixed values of the source format (division code, date and time layout).
@@ -68,11 +69,23 @@ def silver_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = spread(t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                        "l_quantity", "l_discount", "l_tax", "l_returnflag",
                                        "l_linestatus"))
-    rows = (line
-            .join(home, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(size, F.col("l_partkey") == F.col("p_partkey"))
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(away, F.col("o_custkey") == F.col("c_custkey")))
+    if n["customer"] <= max_broadcast_rows(customer):
+        # every mapping is broadcast: lineitem streams through hash lookups
+        rows = (line
+                .join(home, F.col("l_suppkey") == F.col("s_suppkey"))
+                .join(size, F.col("l_partkey") == F.col("p_partkey"))
+                .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                .join(away, F.col("o_custkey") == F.col("c_custkey")))
+    else:
+        # the customer side joins orders first (an orders-sized shuffle), so
+        # lineitem-sized data is shuffled at most three times (order,
+        # supplier, part keys) rather than four
+        orders_away = orders.join(away, F.col("o_custkey") == F.col("c_custkey")).select(
+            "o_orderkey", "o_orderdate", "away_team")
+        rows = (line
+                .join(orders_away, F.col("l_orderkey") == F.col("o_orderkey"))
+                .join(home, F.col("l_suppkey") == F.col("s_suppkey"))
+                .join(size, F.col("l_partkey") == F.col("p_partkey")))
 
     od = F.col("o_orderdate")
     sy = F.when(F.month(od) >= SEASON_START_MONTH, F.year(od)).otherwise(F.year(od) - 1).cast("int")
