@@ -21,10 +21,10 @@ it, so it is used only for inputs whose row count was checked.
    read the id as ``offset + position + 1``.
 
 The returned frame reads the stored rows; the id costs a broadcast hash join
-against the offsets, so the rows are written once.  Ties in the order are
-broken by the row hash and then at random; rows tying on the full order are
-interchangeable only if they are identical, so callers that need stable ids
-pass a total order.
+against the offsets, so the rows are written once.  Rows that tie on
+``order`` get ids in ``tiebreak`` order (or hash-then-random order without
+one); when ``order`` covers every output column, tying rows are identical
+and the numbered result does not depend on how their ties were broken.
 """
 
 from __future__ import annotations
