@@ -92,3 +92,18 @@ def test_optional_silver_cleaning(spark):
     clean = silver_view(bronze_view(df), dedupe=True, trim_text=True)
     assert plain.count() == 2 and clean.count() == 1
     assert clean.first()["home_team"] == "Girona"
+
+
+def test_full_refresh_from_csv_files(spark, raw_dir):
+    from pitchhouse.plans import analytics
+    from pitchhouse.plans.refresh import full_refresh
+    first = full_refresh(spark, os.path.join(raw_dir, "*.csv"))
+    assert spark.table("gold.fact_matches").count() == 3
+    assert sorted(r["season_label"] for r in spark.table("gold.dim_season").collect()) == ["2022-23", "2023-24"]
+    report = {(r["table_name"], r["column_name"], r["test_name"]): r["failures"] for r in first.tests.collect()}
+    assert len(report) == 13 and sum(report.values()) == 0
+    table = {r["team_name"]: (r["wins"], r["draws"], r["losses"]) for r in analytics.team_performance(first.gold).collect()}
+    assert table == {"Barcelona": (2, 1, 0), "Girona": (0, 0, 2), "Real Madrid": (0, 1, 0)}
+    again = full_refresh(spark, os.path.join(raw_dir, "*.csv"))  # idempotent
+    assert sorted(map(tuple, spark.table("gold.fact_matches").collect())) == \
+        sorted(map(tuple, again.gold.fact.collect()))
