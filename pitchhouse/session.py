@@ -93,8 +93,9 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``pitchhouse`` importable in the executors' Python workers (needed
     by the few Arrow-batched Python steps, e.g. the CSV header read): zip the
-    package once per application and hand it to ``SparkContext.addPyFile``,
-    which distributes it with the job."""
+    package once per application into the shared checkpoint folder and hand
+    it to ``SparkContext.addPyFile``, which distributes it with the job."""
+    import io
     import zipfile
 
     sc = spark.sparkContext
@@ -102,12 +103,24 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    path = os.path.join(tempfile.mkdtemp(prefix="pitchhouse-pyfiles-"), "pitchhouse.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
+    target = work_dir(spark, "pyfiles") + "/pitchhouse.zip"
+    if target.startswith("file:") or "://" not in target:
+        local = "/" + target[len("file:"):].lstrip("/") if target.startswith("file:") else target
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(local, "wb") as f:
+            f.write(buf.getvalue())
+        target = local
+    else:
+        from pyarrow import fs
+        filesystem, path = fs.FileSystem.from_uri(target)
+        with filesystem.open_output_stream(path) as f:
+            f.write(buf.getvalue())
+    sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
