@@ -88,20 +88,22 @@ def small_ids(df: DataFrame, order: list[str], id_col: str) -> DataFrame:
 def dense_ids(df: DataFrame, order: list[str], id_col: str, keep: list[str] | None = None,
               num_partitions: int | None = None, partition_by: list[str] | None = None,
               name: str = "ids", tiebreak: str | None = None, rows: int | None = None,
-              seed: int = 17) -> DataFrame:
+              unique_order: bool = False, seed: int = 17) -> DataFrame:
     """Global 1-based numbering of ``df`` in ``order`` (NULLs last), distributed.
 
     ``keep``: output columns besides the id (default: all).  ``partition_by``:
     directory partitioning of the stored rows (e.g. a season key, for pruning).
-    ``tiebreak``: a unique, stored column that ends the order.  ``rows``: the
-    input's row count (or a bound), which sizes the range partitions.
+    ``tiebreak``: a unique, stored column that ends the order;
+    ``unique_order``: the order columns alone are unique (e.g. distinct
+    dimension values), so no tie-break is needed.  ``rows``: the input's row
+    count (or a bound), which sizes the range partitions.
     """
     spark = df.sparkSession
     n = num_partitions or range_partitions(spark, rows)
     cols = df.columns
     keep = keep or [c for c in cols if c != tiebreak]
-    if tiebreak:
-        sort = asc(*[_quoted(c) for c in order]) + [_quoted(tiebreak).asc()]
+    if tiebreak or unique_order:
+        sort = asc(*[_quoted(c) for c in order]) + ([_quoted(tiebreak).asc()] if tiebreak else [])
         keyed = df
     else:
         sort = asc(*[_quoted(c) for c in order]) + [F.col(_TIE).asc(), F.col(_SALT).asc()]
@@ -124,7 +126,7 @@ def dense_ids(df: DataFrame, order: list[str], id_col: str, keep: list[str] | No
 
 
 def surrogate_ids(df: DataFrame, order: list[str], id_col: str, name: str = "dim",
-                  rows: int | None = None) -> tuple[DataFrame, int]:
+                  rows: int | None = None, unique_order: bool = False) -> tuple[DataFrame, int]:
     """Number ``df`` in ``order``; returns the numbered frame and its row count.
 
     Up to the broadcast bound the single-partition window is used (its size is
@@ -138,4 +140,5 @@ def surrogate_ids(df: DataFrame, order: list[str], id_col: str, name: str = "dim
         rows = stored.count()
     if rows <= max_broadcast_rows(df):
         return small_ids(stored, order, id_col), rows
-    return dense_ids(stored, order, id_col, name=name, rows=rows), rows
+    return dense_ids(stored, order, id_col, name=name, rows=rows,
+                     unique_order=unique_order), rows

@@ -71,7 +71,8 @@ def dim_season_from(labels: DataFrame, as_written: bool = False,
     keeps the reference's ``'20' || LEFT(label, 2)``, which is 2020 for every
     20xx season.
     """
-    numbered, rows = surrogate_ids(labels, ["season_label"], "season_id", "dim_season", rows)
+    numbered, rows = surrogate_ids(labels, ["season_label"], "season_id", "dim_season", rows,
+                                   unique_order=True)
     start = season_start_year_as_written if as_written else season_start_year
     return numbered.select("season_id", "season_label",
                            start("season_label").alias("start_year"),
@@ -80,7 +81,8 @@ def dim_season_from(labels: DataFrame, as_written: bool = False,
 
 def dim_team_from(names: DataFrame, rows: int | None = None) -> tuple[DataFrame, int]:
     """``names`` has one column ``team_name`` (distinct, NULL kept as a value)."""
-    numbered, rows = surrogate_ids(names, ["team_name"], "team_id", "dim_team", rows)
+    numbered, rows = surrogate_ids(names, ["team_name"], "team_id", "dim_team", rows,
+                                   unique_order=True)
     return numbered.select("team_id", "team_name"), rows
 
 

@@ -64,3 +64,15 @@ def test_range_partitions_grow_with_rows(spark):
         assert sorted(r["id"] for r in out.collect()) == list(range(1, 1001))
     finally:
         spark.conf.unset("pitchhouse.keys.rowsPerPartition")
+
+
+def test_large_dimension_path_is_deterministic(spark):
+    spark.conf.set("pitchhouse.broadcast.maxRows", "5")  # force the distributed path
+    try:
+        names = spark.createDataFrame([(f"team{i:03d}",) for i in range(50)] + [(None,)], "team_name string")
+        numbered, n = surrogate_ids(names, ["team_name"], "team_id", unique_order=True)
+        got = [(r["team_id"], r["team_name"]) for r in numbered.orderBy("team_id").collect()]
+    finally:
+        spark.conf.unset("pitchhouse.broadcast.maxRows")
+    assert n == 51
+    assert got == [(i + 1, f"team{i:03d}") for i in range(50)] + [(51, None)]
