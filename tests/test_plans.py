@@ -47,3 +47,9 @@ def test_season_filter_prunes_fact_partitions(gold):
     df.collect()
     p = plan(df)
     assert "dynamicpruningexpression(season_id" in p
+
+
+def test_top_k_per_season_uses_window_group_limit(gold):
+    df = A.top_team_seasons(gold)
+    df.collect()
+    assert "WindowGroupLimit" in plan(df)
