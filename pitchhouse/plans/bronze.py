@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchhouse.functions.season import season_from_filename
+from pitchhouse.operators.joins import ordered
 from pitchhouse.sources.bridge import source_rows
 
 # Fixed parameters of the derived two-generation source layout.
@@ -67,13 +68,15 @@ def load_report(bronze: DataFrame) -> DataFrame:
 
 
 def completeness(bronze: DataFrame, group: str = "season",
-                 columns: list[str] | None = None) -> DataFrame:
+                 columns: list[str] | None = None, groups_bound: int | None = None) -> DataFrame:
     """Per group: all rows and the non-NULL count of every column
-    (``nonnull_<lower-case name>``, with non-alphanumerics as ``_``)."""
+    (``nonnull_<lower-case name>``, with non-alphanumerics as ``_``).
+    ``groups_bound``: a counted bound on the number of groups (e.g. the season
+    dimension's size), which lets the small result sort in one partition."""
     columns = columns or [c for c in bronze.columns if c != group and not c.startswith("_")]
     aggs = [F.count(F.lit(1)).alias("total_matches")]
     aggs += [F.count(_q(c)).alias(completeness_name(c)) for c in columns]
-    return bronze.groupBy(group).agg(*aggs).orderBy(group)
+    return ordered(bronze.groupBy(group).agg(*aggs), [F.col(group).asc_nulls_last()], groups_bound)
 
 
 def completeness_name(c: str) -> str:
