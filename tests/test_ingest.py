@@ -107,3 +107,16 @@ def test_full_refresh_from_csv_files(spark, raw_dir):
     again = full_refresh(spark, os.path.join(raw_dir, "*.csv"))  # idempotent
     assert sorted(map(tuple, spark.table("gold.fact_matches").collect())) == \
         sorted(map(tuple, again.gold.fact.collect()))
+
+
+def test_list_files_forms(tmp_dir):
+    from pitchhouse.sources.csv_bronze import list_files
+    for sub in ("a", "b"):
+        os.makedirs(os.path.join(tmp_dir, sub))
+        for name in ("LaLiga 22-23.csv", "notes.txt"):
+            open(os.path.join(tmp_dir, sub, name), "w").close()
+    want = [os.path.join(tmp_dir, s, "LaLiga 22-23.csv") for s in ("a", "b")]
+    assert list_files(os.path.join(tmp_dir, "*", "*.csv")) == want
+    assert list_files("file:" + os.path.join(tmp_dir, "*", "*.csv")) == want
+    assert list_files("file://" + os.path.join(tmp_dir, "*", "*.csv")) == want
+    assert list_files(os.path.join(tmp_dir, "*.csv")) == []
