@@ -340,7 +340,7 @@ kpis AS (
            COUNT(*) FILTER (WHERE result = 'W') AS wins,
            COUNT(*) FILTER (WHERE result = 'D') AS draws,
            COUNT(*) FILTER (WHERE result = 'L') AS losses,
-           CAST(COALESCE(SUM(gf), 0) AS BIGINT) AS goals_for,
+           CAST(COALESCE(SUM(gf), 0) AS BIGINT) AS gf,
            CAST(COALESCE(SUM(gf), 0) - COALESCE(SUM(ga), 0) AS BIGINT) AS goal_diff
     FROM log)
 """

@@ -96,7 +96,7 @@ def team_kpis(g: Gold, team: str, season: str | None = None) -> DataFrame:
                    F.count_if(F.col("result") == WIN).alias("wins"),
                    F.count_if(F.col("result") == DRAW).alias("draws"),
                    F.count_if(F.col("result") == LOSS).alias("losses"),
-                   gf.cast("long").alias("goals_for"), (gf - ga).cast("long").alias("goal_diff"))
+                   gf.cast("long").alias("gf"), (gf - ga).cast("long").alias("goal_diff"))
 
 
 def team_result_breakdown(g: Gold, team: str, season: str | None = None) -> DataFrame:

@@ -73,7 +73,7 @@ def test_match_log_null_result_is_loss_and_null_date_drops(gold):
 
 def test_quote_in_team_name_is_a_plain_literal(gold):
     k = D.team_kpis(gold, "Athletic d'Bilbao").first()
-    assert (k["matches"], k["wins"], k["goals_for"], k["goal_diff"]) == (1, 1, 3, 3)
+    assert (k["matches"], k["wins"], k["gf"], k["goal_diff"]) == (1, 1, 3, 3)
 
 
 def test_head_to_head_precedence(gold):
@@ -134,7 +134,7 @@ def test_matches_reference_sql_on_edge_rows(gold, name):
 
 def test_empty_results(gold):
     k = D.team_kpis(gold, "Nobody").first()
-    assert (k["matches"], k["wins"], k["goals_for"], k["goal_diff"]) == (0, 0, 0, 0)
+    assert (k["matches"], k["wins"], k["gf"], k["goal_diff"]) == (0, 0, 0, 0)
     assert D.team_match_log(gold, "Nobody").count() == 0
     assert D.team_goals_by_season(gold, "Nobody").count() == 0
     assert D.head_to_head(gold, "Barcelona", "Nobody").count() == 0
