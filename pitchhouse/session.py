@@ -118,9 +118,15 @@ def ship_package(spark: SparkSession) -> None:
             f.write(buf.getvalue())
         target = local
     else:
-        from pyarrow import fs
-        filesystem, path = fs.FileSystem.from_uri(target)
-        with filesystem.open_output_stream(path) as f:
-            f.write(buf.getvalue())
+        try:
+            from pyarrow import fs
+            filesystem, path = fs.FileSystem.from_uri(target)
+            with filesystem.open_output_stream(path) as f:
+                f.write(buf.getvalue())
+        except Exception:  # a Hadoop-only scheme pyarrow cannot write:
+            # hand Spark a driver-side file; addPyFile serves it to the executors
+            target = os.path.join(tempfile.mkdtemp(prefix="pitchhouse-pyfiles-"), "pitchhouse.zip")
+            with open(target, "wb") as f:
+                f.write(buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
