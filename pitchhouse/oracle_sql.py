@@ -345,6 +345,7 @@ kpis AS (
     FROM log)
 """
 Q["team_kpis"] = PREFIX + "," + _team_log(TEAM, None) + "," + _KPIS + "SELECT * FROM kpis"
+Q["team_kpis_season"] = PREFIX + "," + _team_log(TEAM, SEASON) + "," + _KPIS + "SELECT * FROM kpis"
 Q["team_result_breakdown"] = PREFIX + "," + _team_log(TEAM, None) + "," + _KPIS + """
 SELECT 'Win' AS result, wins AS "count" FROM kpis
 UNION ALL SELECT 'Draw', draws FROM kpis
@@ -367,6 +368,18 @@ split AS (
 SELECT *, round_even(CAST(wins AS DOUBLE) / matches * 100 * 10, 0) / 10 AS win_pct
 FROM split ORDER BY venue
 """
+Q["team_venue_split_season"] = PREFIX + "," + _team_log(TEAM, SEASON) + """,
+split AS (
+    SELECT venue, COUNT(*) AS matches,
+           COUNT(*) FILTER (WHERE result = 'W') AS wins,
+           COUNT(*) FILTER (WHERE result = 'D') AS draws,
+           COUNT(*) FILTER (WHERE result = 'L') AS losses,
+           CAST(COALESCE(SUM(gf), 0) AS BIGINT) AS goals_for,
+           CAST(COALESCE(SUM(ga), 0) AS BIGINT) AS goals_against
+    FROM log WHERE venue IS NOT NULL GROUP BY venue)
+SELECT *, round_even(CAST(wins AS DOUBLE) / matches * 100 * 10, 0) / 10 AS win_pct
+FROM split ORDER BY venue
+"""
 
 
 # ── dashboard: head to head ──────────────────────────────────────────────────
@@ -439,6 +452,8 @@ summary AS (
 _H2H_ALL = PREFIX + "," + _h2h(TEAM, OPPONENT) + "," + _h2h_sides(TEAM, OPPONENT)
 Q["head_to_head_summary"] = _H2H_ALL + \
     "SELECT meetings, wins_a, draws, wins_b, goals_a, goals_b FROM summary"
+Q["head_to_head_summary_season"] = PREFIX + "," + _h2h(TEAM, OPPONENT, _SEASON_FILTER) + "," + \
+    _h2h_sides(TEAM, OPPONENT) + "SELECT meetings, wins_a, draws, wins_b, goals_a, goals_b FROM summary"
 Q["head_to_head_win_share"] = _H2H_ALL + f"""
 SELECT '{TEAM}' AS team, wins_a AS "count" FROM summary
 UNION ALL SELECT 'Draw', draws FROM summary

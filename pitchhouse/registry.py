@@ -110,13 +110,16 @@ def queries() -> dict[str, QueryFn]:
         "team_match_log": _gold(D.team_match_log, TEAM),
         "team_match_log_season": _gold(D.team_match_log, TEAM, SEASON),
         "team_kpis": _gold(D.team_kpis, TEAM),
+        "team_kpis_season": _gold(D.team_kpis, TEAM, SEASON),
         "team_result_breakdown": _gold(D.team_result_breakdown, TEAM),
         "team_goals_by_season": _gold(D.team_goals_by_season, TEAM),
         "team_venue_split": _gold(D.team_venue_split, TEAM),
+        "team_venue_split_season": _gold(D.team_venue_split, TEAM, SEASON),
         "head_to_head": _gold(D.head_to_head, TEAM, OPP),
         "head_to_head_season": _gold(D.head_to_head, TEAM, OPP, SEASON),
         "head_to_head_as_written": _gold(D.head_to_head, TEAM, OPP, SEASON, as_written=True),
         "head_to_head_summary": _gold(D.head_to_head_summary, TEAM, OPP),
+        "head_to_head_summary_season": _gold(D.head_to_head_summary, TEAM, OPP, SEASON),
         "head_to_head_win_share": _gold(D.head_to_head_win_share, TEAM, OPP),
         "head_to_head_avg_stats": _gold(D.head_to_head_avg_stats, TEAM, OPP),
         "pick_list_teams": _gold(D.pick_list_teams),
