@@ -8,12 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchhouse.llm import decontam, mixing, quality, simhash, simple8b, tokens
+from pitchhouse.llm import decontam, fingerprints, mixing, quality, simhash, simple8b, tokens, urls
 from pitchhouse.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -35,6 +39,10 @@ def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.token_files(table(spark, sf_dir, "documents"), tokens.library_path("word_bpe_49k.json"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -43,6 +51,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     import corpus_pipeline
 
-    own = [op2_quality_classifier, op3_benchmark_decontamination, op4_token_counts, op5_simhash_near_dedup,
-           op8_token_id_output, op10_mix_sources]
+    own = [op1_url_filters, op2_quality_classifier, op3_benchmark_decontamination, op4_token_counts, op5_simhash_near_dedup,
+           op8_token_id_output, op9_document_fingerprints, op10_mix_sources]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}

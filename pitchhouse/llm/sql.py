@@ -67,5 +67,64 @@ FROM words d LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+URLS = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), base AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), known AS (
+  SELECT doc_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS y
+  FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), hosts AS (
+  SELECT host, count(y) AS n, coalesce(sum(y), 0) AS y FROM base LEFT JOIN known ON page_id = doc_id GROUP BY host
+), named AS (
+  SELECT host, n, y, string_split(host, '.') AS l,
+         CASE WHEN array_to_string(l[-2:], '.') IN (%(suffixes)s) THEN 2 ELSE 1 END AS k,
+         array_to_string(l[-(k + 1):], '.') AS domain, array_to_string(l[-k:], '.') AS suffix
+  FROM hosts
+), level0 AS (
+  SELECT suffix, sum(n) AS n, sum(y) AS y, (sum(sum(y)) OVER () + 1.0::DOUBLE) / (sum(sum(n)) OVER () + 2) AS m
+  FROM named GROUP BY suffix
+), r0 AS (
+  SELECT least(greatest(coalesce(round(sum((y - n * m) ** 2 / (m * (1 - m)) - n) / nullif(sum(n * (n - 1)), 0), 6), 0.5), 0.001), 0.5) AS r FROM level0
+), suffixes AS (
+  SELECT suffix, ((1 / r - 1) * m + y) / ((1 / r - 1) + n) AS m FROM level0, r0
+), level1 AS (
+  SELECT suffix, domain, sum(n) AS n, sum(y) AS y, any_value(s.m) AS m
+  FROM named JOIN suffixes s USING (suffix) GROUP BY suffix, domain
+), r1 AS (
+  SELECT least(greatest(coalesce(round(sum((y - n * m) ** 2 / (m * (1 - m)) - n) / nullif(sum(n * (n - 1)), 0), 6), 0.5), 0.001), 0.5) AS r FROM level1
+), domains AS (
+  SELECT suffix, domain, ((1 / r - 1) * m + y) / ((1 / r - 1) + n) AS m FROM level1, r1
+), level2 AS (
+  SELECT host, n, y, d.m FROM named JOIN domains d USING (suffix, domain)
+), r2 AS (
+  SELECT least(greatest(coalesce(round(sum((y - n * m) ** 2 / (m * (1 - m)) - n) / nullif(sum(n * (n - 1)), 0), 6), 0.5), 0.001), 0.5) AS r FROM level2
+), beta AS (
+  SELECT host, (1 / r - 1) * m + y AS a, (1 / r - 1) * (1 - m) + n - y AS b FROM level2, r2
+), posterior AS (
+  SELECT host, a / (a + b) AS mean, sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS deviation FROM beta
+), rules AS (SELECT * FROM (VALUES %(rules)s) AS t(verdict, rule_host, rule_path)
+), fits AS (
+  SELECT DISTINCT b.host, b.path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM base) b
+  JOIN rules ON (b.host = rule_host OR ends_with(b.host, '.' || rule_host)) AND starts_with(b.path, rule_path)
+  GROUP BY b.host, b.path
+)
+SELECT b.page_id, b.host, b.path, f.rule,
+       coalesce(f.verdict, CASE WHEN round(p.mean - 1.2816 * p.deviation, 6) >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict,
+       round(p.mean, 6) AS host_mean, round(p.mean - 1.2816 * p.deviation, 6) AS host_bound
+FROM base b JOIN posterior p USING (host) LEFT JOIN fits f ON b.host = f.host AND b.path = f.path
+""" % {
+    "suffixes": """'ac.uk','co.in','co.jp','co.kr','co.nz','co.uk','co.za','com.ar','com.au','com.br','com.cn','com.mx',
+    'com.tr','com.tw','edu.au','gov.au','gov.uk','net.au','ne.jp','or.jp','org.au','org.uk'""",
+    "rules": """('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_benchmark_decontamination": DECONTAMINATION, "op10_mix_sources": MIX}
+    return {"op1_url_filters": URLS, "op3_benchmark_decontamination": DECONTAMINATION, "op10_mix_sources": MIX}
