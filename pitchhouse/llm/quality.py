@@ -104,10 +104,11 @@ def _forward(m: dict, x: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tu
 
 def fit(x: np.ndarray, owner: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 60, rate: float = 5e-3,
         decay: float = 1e-4, bags: int = 128, seed: int = 7) -> dict:
-    """Train all parameters by Adam on batches of whole bags."""
+    """Train all parameters by Adam on batches of whole bags; ``x`` is scaled in place."""
     rng = np.random.default_rng(seed)
     mean, std = x.mean(0), x.std(0) + 1e-3
-    x = (x - mean) / std
+    x -= mean
+    x /= std
     d = x.shape[1]
     m = {"E": rng.normal(0, d ** -0.5, (d, WIDTH)), "e": np.zeros(WIDTH), "V": rng.normal(0, 0.3, (WIDTH, GATE)),
          "U": rng.normal(0, 0.3, (WIDTH, GATE)), "w": rng.normal(0, 0.3, GATE), "c": np.zeros(WIDTH), "b": np.zeros(1)}
@@ -180,7 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longes
         sample += ids.join(texts, "doc_id").orderBy(*order).limit(per_label).select("doc_id", "y", "text").collect()
     if len({r.y for r in sample}) < 2:
         return {"share": share.get(1, 0) / sum(share.values())}
-    x, owner = passages([r.text or "" for r in sample])
+    parts = [passages([r.text or ""]) for r in sample]
+    x = np.concatenate([p for p, _ in parts])
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p, _ in parts])
     y = np.array([r.y for r in sample], np.float32)
     n = np.bincount(y.astype(int), minlength=2)
     weight = np.array([share[int(v)] / sum(share.values()) / n[int(v)] for v in y], np.float32)
