@@ -127,23 +127,22 @@ def repeated_starts(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     back = np.zeros((longest + 1, m), kind)
     owner = np.repeat(np.arange(m), sizes)
     back[np.repeat(np.cumsum(sizes), sizes) - 1 - np.arange(len(owner)), owner] = dense + 1
-    bwt, lcp = back[0].copy(), np.zeros(m, deep)
-    # all entries by symbol, then place: entry r of it is the r-th of the mapping
+    lcp = np.zeros(m + 2, deep)  # two zeros stand behind the last prefix
+    # the transform's entries by symbol, then place: entry r of it is the r-th of the mapping
     bits = np.int64(max(1, int(sizes.sum() + m).bit_length()))
     number = np.int32 if bits + 9 < 32 else np.int64
     mask, bits = number((1 << int(bits)) - 1), number(bits)
-    sort = np.sort((bwt.astype(number) << bits) | np.arange(m, dtype=number))
-    who = np.argsort(bwt, kind="stable")  # the strings, as their entries stand in ``sort``
+    sort = np.sort((back[0].astype(number) << bits) | np.arange(m, dtype=number))
+    who = np.argsort(back[0], kind="stable")  # the strings, as their entries stand in ``sort``
     r = np.arange(m)
     for j in range(1, longest + 1):
         entry = sort[r]
         on = entry > mask  # the others have begun: all of the string is in
         who, r, entry = who[on], r[on], entry[on]
-        n, k = len(bwt), len(r)
+        n, k = len(sort), len(r)
         if not k:
             break
         at, symbol = (entry & mask).astype(np.int64), entry >> bits
-        wide = np.append(lcp, np.zeros(2, deep))
         turn = np.argsort(at)
         a = at[turn]
         # prefix with the suffix before: one more than the least since the last equal symbol
@@ -151,36 +150,38 @@ def repeated_starts(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
         has = (r > 0) & ((near >> bits) == symbol)
         low = np.where(has, (near & mask) + 1, at)[turn]
         up = np.empty(k, deep)
-        up[turn] = np.minimum(np.minimum.reduceat(wide, np.column_stack([low, a + 1]).ravel())[::2], width - 1) + 1
+        up[turn] = np.minimum(np.minimum.reduceat(lcp, np.column_stack([low, a + 1]).ravel())[::2], width - 1) + 1
         up[~has] = 0
         near = sort[np.minimum(r + 1, n - 1)]
         has = (r + 1 < n) & ((near >> bits) == symbol)
         high = np.where(has, (near & mask) + 1, at + 2)[turn]
         down = np.empty(k, deep)
-        down[turn] = np.minimum(np.minimum.reduceat(wide, np.column_stack([a + 1, high]).ravel())[::2], width - 1) + 1
+        down[turn] = np.minimum(np.minimum.reduceat(lcp, np.column_stack([a + 1, high]).ravel())[::2], width - 1) + 1
         down[~has] = 0
         at = r + k  # after the m empty suffixes, less the ended ones; ascending like r
-        keep = np.ones(n + k, bool)
+        keep = np.ones(n + k + 2, bool)
         keep[at] = False
-        grown = np.empty(n + k, kind)
-        grown[keep], grown[at] = bwt, back[j, who]
-        bwt, grown = grown, np.empty(n + k, deep)
+        grown = np.empty(n + k + 2, deep)
         grown[keep] = lcp
-        inside = at + 1 < n + k
-        grown[at[inside] + 1] = down[inside]
+        grown[at + 1] = down
         grown[at] = up
+        grown[-2:] = 0
         lcp = grown
-        sort += (np.flatnonzero(keep).astype(number) - np.arange(n, dtype=number))[sort & mask]
+        # an old place moves on by the number of entries inserted at or before it
+        edges = np.concatenate([[0], at - np.arange(k), [n]])
+        sort += np.repeat(np.arange(k + 1, dtype=number), np.diff(edges))[sort & mask]
         new = (back[j, who].astype(number) << bits) | at.astype(number)
         turn = np.argsort(new)
         who, new = who[turn], new[turn]
         r = np.searchsorted(sort, new) + np.arange(k)
-        keep[:] = True
+        keep = np.ones(n + k, bool)
         keep[r] = False
         grown = np.empty(n + k, number)
         grown[keep], grown[r] = sort, new
         sort = grown
-    hit = np.maximum(lcp, np.append(lcp[1:], np.zeros(1, deep))) >= width
+    hit = np.maximum(lcp[:-2], lcp[1:-1]) >= width
+    bwt = np.empty(len(sort), kind)
+    bwt[sort & mask] = sort >> bits
     # the last-to-first mapping of the whole transform names the suffixes
     order = np.argsort(bwt, kind="stable")
     rank = np.empty(len(bwt), np.int64)
