@@ -5,8 +5,9 @@ merged by column name), ``silver`` renames and types the columns, ``gold`` is a
 star schema (season, team, date dimensions and one fact table).  Analytic
 questions are plain DataFrame functions over the gold tables.
 
-Every function takes and returns DataFrames; nothing in the library collects
-data to the driver and no Python UDF is used.
+Every function takes and returns DataFrames.  Only the CSV landing runs Python
+on the executors (``mapInPandas`` over header lines) and gathers on the driver
+(file names by header line); the star schema and its queries do neither.
 """
 
 from pitchhouse.session import get_session, work_dir

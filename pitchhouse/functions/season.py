@@ -2,7 +2,7 @@
 
 The source files are named ``LaLiga YY-YY.csv``; the season label is
 ``"20" + first part + "-" + second part`` (``LaLiga 22-23.csv`` → ``2022-23``).
-A name without the ``-`` separator fails the load, as the reference does.
+Any other name fails the load; no name (NULL) has no season.
 """
 
 from __future__ import annotations
@@ -11,17 +11,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the source naming convention.
-FILE_PREFIX = "LaLiga "
-FILE_SUFFIX = ".csv"
+FILE_NAME = r"^LaLiga (\d\d)-(\d\d)\.csv$"
 CENTURY = "20"
 
 
 def season_from_filename(name) -> Column:
     name = F.col(name) if isinstance(name, str) else name
-    stem = F.replace(F.replace(name, F.lit(FILE_PREFIX), F.lit("")), F.lit(FILE_SUFFIX), F.lit(""))
-    parts = F.split(stem, "-")
-    label = F.concat(F.lit(CENTURY), parts.getItem(0), F.lit("-"), parts.getItem(1))
-    return F.when(F.size(parts) >= 2, label).otherwise(
+    label = F.concat(F.lit(CENTURY), F.regexp_extract(name, FILE_NAME, 1), F.lit("-"),
+                     F.regexp_extract(name, FILE_NAME, 2))
+    return F.when(name.isNull(), F.lit(None).cast("string")).when(name.rlike(FILE_NAME), label).otherwise(
         F.raise_error(F.concat(F.lit("file name without season: "), name)).cast("string"))
 
 

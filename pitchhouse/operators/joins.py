@@ -1,14 +1,13 @@
-"""Size-driven physical choices: broadcast, sort, input spread.
+"""Size-driven physical choices: broadcast and sort.
 
 * ``bounded_broadcast`` – a side is broadcast only when its row count is
-  known to be within a bound (passed in by a caller that already counted it,
-  or counted here).  Beyond the bound the plain join is left to Catalyst/AQE,
+  known to be within a bound (passed in by a caller that already counted it;
+  counted here only if no bound is known).  Beyond the bound the plain join is left to Catalyst/AQE,
   which picks a sort-merge or shuffled-hash join and splits skewed partitions
   at run time.
 * ``row_counts`` – several footer-only counts in one job.
 * ``ordered`` – a single-partition sort for results of proven small size,
   the distributed ``orderBy`` otherwise.
-* ``spread`` – round-robin a scan with fewer splits than cores.
 """
 
 from __future__ import annotations
@@ -32,13 +31,12 @@ def bounded_broadcast(df: DataFrame, upper_bound: int | None = None,
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
     ``upper_bound`` is a row bound the caller already knows (for instance the
-    row count of the dimension that ``df`` filters); when it is missing or
-    above the limit, ``df`` itself is counted.
+    row count of the dimension that ``df`` filters) and decides alone; only
+    without one is ``df`` itself counted.
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    if upper_bound is not None and upper_bound <= limit:
-        return F.broadcast(df)
-    return F.broadcast(df) if df.count() <= limit else df
+    rows = df.count() if upper_bound is None else upper_bound
+    return F.broadcast(df) if rows <= limit else df
 
 
 def row_counts(frames: dict[str, DataFrame]) -> dict[str, int]:
@@ -58,19 +56,12 @@ def ordered(df: DataFrame, sort_cols: list, upper_bound: int | None = None,
     """``df`` sorted by ``sort_cols``.
 
     A result whose row count is bounded by a checked size (e.g. one row per
-    team or season) is sorted inside a single partition, which skips the
-    sampling job of a range-partitioned sort; anything else uses the
-    distributed ``orderBy``.
+    team or season) is moved to a single partition and sorted there, which
+    skips the sampling job of a range-partitioned sort; anything else uses the
+    distributed ``orderBy``.  The move is an exchange of its own, so whatever
+    computes ``df`` keeps its parallelism and only final rows reach the one task.
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
     if upper_bound is not None and upper_bound <= limit:
-        return df.coalesce(1).sortWithinPartitions(*sort_cols)
+        return df.repartition(1).sortWithinPartitions(*sort_cols)
     return df.orderBy(*sort_cols)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than there are cores (a small input of few Parquet row groups);
-    a large input already has more splits than cores and is returned as is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -32,6 +32,9 @@ MEASURES = {
     "yellows": ("home_yellow_cards", "away_yellow_cards"),
     "reds": ("home_red_cards", "away_red_cards"),
     "shots": ("home_shots", "away_shots"),
+    "shots_on_target_against": ("away_shots_on_target", "home_shots_on_target"),
+    "corners_against": ("away_corners", "home_corners"),
+    "yellows_against": ("away_yellow_cards", "home_yellow_cards"),
 }
 
 # Outcome codes of the match log and venue labels.

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchhouse.functions.calendar import parse_date
+from pitchhouse.functions.parity import asc
 from pitchhouse.functions.season import season_from_filename
 from pitchhouse.operators.joins import ordered
 from pitchhouse.sources.bridge import source_rows
@@ -32,7 +34,8 @@ def evolving_source(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     start = F.left(F.col("season"), F.lit(4)).cast("int")
     cols = [c for c in src.columns]
     old_cols = [c for c in cols if c != DROPPED_IN_OLD]
-    old = src.where(start < NEW_LAYOUT_FROM).select(
+    # a match without a season counts as old: every row is in one generation
+    old = src.where(start.isNull() | (start < NEW_LAYOUT_FROM)).select(
         *[_q(c) for c in old_cols],
         (F.col("HS").cast("int") + F.col("AS").cast("int")).cast("string").alias(OLD_ONLY))
     new_cols = list(cols)
@@ -64,7 +67,7 @@ def season_from_file(bronze: DataFrame) -> DataFrame:
 def load_report(bronze: DataFrame) -> DataFrame:
     """Rows per season and source file (the loader's verification)."""
     return (bronze.groupBy("season", "_source_file").agg(F.count(F.lit(1)).alias("matches"))
-            .orderBy("season", "_source_file"))
+            .orderBy(*asc("season", "_source_file")))
 
 
 def completeness(bronze: DataFrame, group: str = "season",
@@ -84,10 +87,11 @@ def completeness_name(c: str) -> str:
 
 
 def sample_rows(bronze: DataFrame, n: int = 5) -> DataFrame:
-    """First ``n`` rows by season and (text) date; the other shown columns
-    break ties so the sample is deterministic."""
+    """First ``n`` rows by season and date (as a date, not as day-first text);
+    the other shown columns break ties so the sample is deterministic."""
+    keys = [parse_date(_q(c)) if c == "Date" else _q(c) for c in SAMPLE_COLUMNS]
     return bronze.select(*[_q(c) for c in SAMPLE_COLUMNS]).orderBy(
-        *[_q(c).asc_nulls_last() for c in SAMPLE_COLUMNS]).limit(n)
+        *[k.asc_nulls_last() for k in keys]).limit(n)
 
 
 def write_source_files(silver: DataFrame, root: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchhouse.functions.parity import (asc, pct, ratio, round_half_away,
-                                         round_half_even)
+                                         round_half_even, round_printed)
 from pitchhouse.operators.joins import bounded_broadcast, ordered
 from pitchhouse.operators.teamview import DRAW, LOSS, WIN, team_view
 from pitchhouse.plans.analytics import _season_totals
@@ -71,10 +71,17 @@ def _seasons(g: Gold, season: str | None) -> DataFrame:
     return bounded_broadcast(ds, g.season_rows)
 
 
+def _matches_of(g: Gold, team: str) -> DataFrame:
+    """The fact rows in which ``team`` plays, filtered at the scan (before any
+    unpivot) by the id that a one-row subquery looks up."""
+    tid = g.dim_team.where(F.col("team_name") == F.lit(team)).select("team_id").scalar()
+    return g.fact.where((F.col("team_id_home") == tid) | (F.col("team_id_away") == tid))
+
+
 def team_match_log(g: Gold, team: str, season: str | None = None) -> DataFrame:
     """Every match of ``team`` (optionally one season), oldest first."""
-    tv = team_view(g.fact, ("gf", "ga", "shots_on_target", "yellows"),
-                   keep=("match_id", "season_id", "date_id"))
+    tv = team_view(_matches_of(g, team), ("gf", "ga", "shots_on_target", "yellows"),
+                   keep=("season_id", "date_id"))
     opp = bounded_broadcast(g.dim_team.select(F.col("team_id").alias("opponent_id"),
                                               F.col("team_name").alias("opponent")), g.team_rows)
     days = g.dim_date.select("date_id", F.col("full_date").alias("date"))
@@ -132,6 +139,8 @@ def team_venue_split(g: Gold, team: str, season: str | None = None) -> DataFrame
 
 # ── Head to head ─────────────────────────────────────────────────────────────
 
+# Columns of the meetings list; measures behind the stat categories after goals.
+H2H_STATS = ("shots_on_target", "corners", "yellows")
 H2H_COLUMNS = ["season", "date", "home_team", "away_team", "home_goals", "away_goals", "result",
                "home_shots_on_target", "away_shots_on_target", "home_corners", "away_corners",
                "home_yellow_cards", "away_yellow_cards"]
@@ -166,26 +175,19 @@ def head_to_head(g: Gold, team_a: str, team_b: str, season: str | None = None,
     return rows.where(cond).select(*H2H_COLUMNS).orderBy(*asc("date"))
 
 
-def _h2h_sides(h2h: DataFrame, team_a: str, team_b: str) -> DataFrame:
-    a_home = F.col("home_team") == F.lit(team_a)
-    b_home = F.col("home_team") == F.lit(team_b)
-    res = F.col("result")
-    result_a = (F.when(a_home, F.when(res == "H", WIN).when(res == "D", DRAW).otherwise(LOSS))
-                .otherwise(F.when(res == "A", WIN).when(res == "D", DRAW).otherwise(LOSS)))
-
-    def pick(home_col, away_col, home_side):
-        return F.when(F.coalesce(home_side, F.lit(False)), F.col(home_col)).otherwise(F.col(away_col))
-
-    return h2h.select(
-        result_a.alias("result_a"),
-        pick("home_goals", "away_goals", a_home).alias("goals_a"),
-        pick("home_goals", "away_goals", b_home).alias("goals_b"),
-        pick("home_shots_on_target", "away_shots_on_target", a_home).alias("sot_a"),
-        pick("home_shots_on_target", "away_shots_on_target", b_home).alias("sot_b"),
-        pick("home_corners", "away_corners", a_home).alias("corners_a"),
-        pick("home_corners", "away_corners", b_home).alias("corners_b"),
-        pick("home_yellow_cards", "away_yellow_cards", a_home).alias("yellows_a"),
-        pick("home_yellow_cards", "away_yellow_cards", b_home).alias("yellows_b"))
+def _meetings(g: Gold, team_a: str, team_b: str, season: str | None = None,
+              as_written: bool = False) -> DataFrame:
+    """The meetings at team grain, from ``team_a``'s side (``as_written`` as in
+    ``head_to_head``: the season binds to the meetings that ``team_b`` hosts)."""
+    other = _named(g, team_b).select(F.col("team_id").alias("opponent_id"))
+    tv = team_view(_matches_of(g, team_a), ("gf", "ga", *H2H_STATS, *[f"{m}_against" for m in H2H_STATS]),
+                   keep=("season_id", "date_id"))
+    rows = (tv.join(_named(g, team_a), "team_id").join(other, "opponent_id")
+            .join(_seasons(g, None if as_written else season), "season_id")
+            .join(g.dim_date.select("date_id"), "date_id"))
+    if as_written and season is not None:
+        rows = rows.where(F.col("is_home") | (F.col("season") == F.lit(season)))
+    return rows
 
 
 def head_to_head_summary(g: Gold, team_a: str, team_b: str, season: str | None = None,
@@ -195,14 +197,14 @@ def head_to_head_summary(g: Gold, team_a: str, team_b: str, season: str | None =
     ``wins_b`` counts A's non-wins that are not draws, so a meeting with a
     NULL result counts for B, as in the reference.
     """
-    s = _h2h_sides(head_to_head(g, team_a, team_b, season, as_written), team_a, team_b)
-    return s.agg(
+    outcome = F.col("outcome")
+    return _meetings(g, team_a, team_b, season, as_written).agg(
         F.count(F.lit(1)).alias("meetings"),
-        F.count_if(F.col("result_a") == WIN).alias("wins_a"),
-        F.count_if(F.col("result_a") == DRAW).alias("draws"),
-        F.count_if(F.col("result_a") == LOSS).alias("wins_b"),
-        F.coalesce(F.sum("goals_a"), F.lit(0)).cast("long").alias("goals_a"),
-        F.coalesce(F.sum("goals_b"), F.lit(0)).cast("long").alias("goals_b"))
+        F.count_if(outcome == WIN).alias("wins_a"),
+        F.count_if(outcome == DRAW).alias("draws"),
+        F.count_if(outcome == LOSS).alias("wins_b"),
+        F.coalesce(F.sum("gf"), F.lit(0)).cast("long").alias("goals_a"),
+        F.coalesce(F.sum("ga"), F.lit(0)).cast("long").alias("goals_b"))
 
 
 def head_to_head_win_share(g: Gold, team_a: str, team_b: str, season: str | None = None,
@@ -217,22 +219,19 @@ def head_to_head_win_share(g: Gold, team_a: str, team_b: str, season: str | None
 
 def head_to_head_avg_stats(g: Gold, team_a: str, team_b: str, season: str | None = None,
                            as_written: bool = False) -> DataFrame:
-    """(team, category, value) — per-meeting averages, two decimals (half-even)."""
-    s = _h2h_sides(head_to_head(g, team_a, team_b, season, as_written), team_a, team_b)
-    one = s.agg(F.count(F.lit(1)).alias("n"),
-                *[F.sum(f"goals_{x}").alias(f"g_{x}") for x in "ab"],
-                *[F.avg(f"{m}_{x}").alias(f"{m}_{x}") for m in ("sot", "corners", "yellows")
-                  for x in "ab"])
-
-    def value(x, i):
-        v = [ratio(F.coalesce(F.col(f"g_{x}"), F.lit(0)), "n"),
-             F.col(f"sot_{x}"), F.col(f"corners_{x}"), F.col(f"yellows_{x}")][i]
-        return round_half_even(v, 2)
-
-    rows = F.array(*[F.struct(F.lit(team).alias("team"), F.lit(cat).alias("category"),
-                              value(x, i).alias("value"))
-                     for x, team in (("a", team_a), ("b", team_b))
-                     for i, cat in enumerate(STAT_CATEGORIES)])
+    """(team, category, value) — per-meeting averages, two decimals: goals
+    as Python rounds a ratio, the other means as pandas rounds a column."""
+    one = _meetings(g, team_a, team_b, season, as_written).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("gf").alias("gf"), F.sum("ga").alias("ga"),
+        *[F.avg(m + side).alias(m + side) for m in H2H_STATS for side in ("", "_against")])
+
+    def values(goals: str, side: str) -> list:
+        per_match = round_printed(ratio(F.coalesce(F.col(goals), F.lit(0)), "n"), 2)
+        return [per_match, *[round_half_even(F.col(m + side), 2) for m in H2H_STATS]]
+
+    rows = F.array(*[F.struct(F.lit(team).alias("team"), F.lit(cat).alias("category"), v.alias("value"))
+                     for team, goals, side in ((team_a, "gf", ""), (team_b, "ga", "_against"))
+                     for cat, v in zip(STAT_CATEGORIES, values(goals, side))])
     return one.select(F.inline(rows))
 
 

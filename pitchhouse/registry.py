@@ -67,7 +67,7 @@ def _dim_season_as_written(g: Gold) -> DataFrame:
 
 def _integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = warehouse(spark, sf_dir)
-    return row_count_integrity(g.silver, g.fact)
+    return row_count_integrity(B.bronze_from_tables(g.silver), g.fact)
 
 
 def _dirty_report(g: Gold) -> DataFrame:
@@ -87,6 +87,7 @@ def queries() -> dict[str, QueryFn]:
         "season_from_filename": _bronze(B.season_from_file),
         "bronze_projection": _bronze(_projection),
         "silver_matches": _bronze(_silver),
+        "silver_matches_cleaned": _bronze(lambda b: silver_view(bronze_view(b), dedupe=True, trim_text=True)),
         "load_report": _bronze(B.load_report),
         "completeness_by_season": _completeness,
         "sample_rows": _bronze(B.sample_rows),
@@ -112,16 +113,20 @@ def queries() -> dict[str, QueryFn]:
         "team_kpis": _gold(D.team_kpis, TEAM),
         "team_kpis_season": _gold(D.team_kpis, TEAM, SEASON),
         "team_result_breakdown": _gold(D.team_result_breakdown, TEAM),
+        "team_result_breakdown_season": _gold(D.team_result_breakdown, TEAM, SEASON),
         "team_goals_by_season": _gold(D.team_goals_by_season, TEAM),
+        "team_goals_by_season_season": _gold(D.team_goals_by_season, TEAM, SEASON),
         "team_venue_split": _gold(D.team_venue_split, TEAM),
         "team_venue_split_season": _gold(D.team_venue_split, TEAM, SEASON),
         "head_to_head": _gold(D.head_to_head, TEAM, OPP),
         "head_to_head_season": _gold(D.head_to_head, TEAM, OPP, SEASON),
         "head_to_head_as_written": _gold(D.head_to_head, TEAM, OPP, SEASON, as_written=True),
         "head_to_head_summary": _gold(D.head_to_head_summary, TEAM, OPP),
-        "head_to_head_summary_season": _gold(D.head_to_head_summary, TEAM, OPP, SEASON),
         "head_to_head_win_share": _gold(D.head_to_head_win_share, TEAM, OPP),
         "head_to_head_avg_stats": _gold(D.head_to_head_avg_stats, TEAM, OPP),
+        **{f"{fn.__name__}_{form}": _gold(fn, TEAM, OPP, SEASON, as_written=form == "as_written")
+           for fn in (D.head_to_head_summary, D.head_to_head_win_share, D.head_to_head_avg_stats)
+           for form in ("season", "as_written")},
         "pick_list_teams": _gold(D.pick_list_teams),
         "pick_list_seasons": _gold(D.pick_list_seasons),
         # data quality

@@ -17,8 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchhouse.operators.joins import (bounded_broadcast, max_broadcast_rows, row_counts,
-                                       spread)
+from pitchhouse.operators.joins import bounded_broadcast, max_broadcast_rows, row_counts
 from pitchhouse.plans.silver import SILVER_COLUMNS, SOURCE_TO_SILVER
 
 # Fixed values of the source format (division code, date and time layout).
@@ -66,9 +65,8 @@ def silver_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     # its measured size is under spark.sql.autoBroadcastJoinThreshold.
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
 
-    line = spread(t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                       "l_quantity", "l_discount", "l_tax", "l_returnflag",
-                                       "l_linestatus"))
+    line = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     if n["customer"] <= max_broadcast_rows(customer):
         # every mapping is broadcast: lineitem streams through hash lookups
         rows = (line

@@ -96,7 +96,9 @@ def _source_name(source_name: str):
         # files written by a partitioned writer: <dir>/<key=value>/part-*.csv;
         # the logical source file is the partition value
         folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
-        return F.url_decode(F.regexp_replace(folder, r"^[^=]*=", ""))
+        value = F.regexp_replace(folder, r"^[^=]*=", "")
+        # the partitioned writer's folder for NULL: rows without a file name
+        return F.when(value != "__HIVE_DEFAULT_PARTITION__", F.url_decode(value))
     raise ValueError(f"source_name must be 'file' or 'directory', not {source_name!r}")
 
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from pitchhouse.functions.parity import round_printed
 from pitchhouse.functions import (date_key, is_weekend, iso_week, parse_date, pct, ratio,
                                   round_half_away, round_half_even, season_end_year,
                                   season_from_filename, season_start_year,
@@ -57,3 +58,18 @@ def test_season_rules(spark):
         season_from_filename("f").alias("s")).select(
         "s", season_start_year("s"), season_start_year_as_written("s"), season_end_year("s")).collect()]
     assert got == [("2022-23", 2022, 2020, 2023), ("2095-96", 2095, 2020, 2096)]
+
+
+def test_round_printed_equals_python_round(spark):
+    pairs = [(a, b) for b in range(1, 130) for a in range(0, 130, 3)] + [(1, 40), (3, 40), (5, 8), (1, 8), (201, 200)]
+    df = spark.createDataFrame(pairs, "a int, b int")
+    got = df.select("a", "b", round_printed(F.col("a") / F.col("b"), 2).alias("v")).collect()
+    assert all(r.v == round(r.a / r.b, 2) for r in got)
+
+
+def test_file_names_outside_the_rule_fail(spark):
+    name = lambda x: spark.createDataFrame([(x,)], "f string").select(season_from_filename("f").alias("s"))
+    assert name("LaLiga 22-23.csv").first().s == "2022-23" and name(None).first().s is None
+    for bad in ("my-notes.csv", "LaLiga 22-23.csv.bak", "22-23.csv"):
+        with pytest.raises(Exception, match="file name without season"):
+            name(bad).collect()

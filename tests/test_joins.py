@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pitchhouse.operators.joins import bounded_broadcast, ordered, row_counts, spread
+from pitchhouse.operators.joins import bounded_broadcast, ordered, row_counts
 
 
 def _plan(df):
@@ -36,11 +36,21 @@ def test_ordered_sorts_small_results_in_one_partition(spark):
     assert "rangepartitioning" in _plan(unbounded)
 
 
-def test_row_counts_and_spread(spark):
+def test_a_known_bound_is_never_counted(spark):
+    class Uncounted:
+        def count(self):
+            raise AssertionError("counted")
+
+    side = Uncounted()
+    assert bounded_broadcast(side, 10**9, max_rows=10) is side
+
+
+def test_bounded_sort_leaves_the_aggregate_parallel(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("g")).groupBy("g").count()
+    p = ordered(df, [F.col("g").asc()], upper_bound=7)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" not in p and p.index("SinglePartition") < p.index("HashAggregate")
+
+
+def test_row_counts(spark):
     a, b = spark.range(3), spark.range(11)
     assert row_counts({"a": a, "b": b}) == {"a": 3, "b": 11}
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 100, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, numPartitions=cores + 2)
-    assert spread(many).rdd.getNumPartitions() == cores + 2

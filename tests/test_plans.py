@@ -39,7 +39,18 @@ def test_fact_scan_is_pruned(gold):
 def test_fact_read_has_no_single_partition_exchange(gold):
     # the gold fact is written and read back; aggregations over it shuffle by key only
     p = plan(A.team_performance(gold))
-    assert "SinglePartition" not in p
+    assert "Coalesce 1" not in p
+    # only the final, aggregated rows meet in one partition, to be sorted
+    assert p.count("SinglePartition") == 1 and p.index("SinglePartition") < p.index("HashAggregate")
+
+
+@pytest.mark.parametrize("fn", [lambda g: D.team_match_log(g, "NATION_3"), lambda g: D.team_kpis(g, "NATION_3"),
+                                lambda g: D.head_to_head_summary(g, "NATION_3", "NATION_7")])
+def test_team_is_filtered_below_the_unpivot(gold, fn):
+    lines = plan(fn(gold)).splitlines()
+    unpivot = next(i for i, x in enumerate(lines) if "Generate inline" in x)
+    assert any("Filter" in x and "team_id_home" in x and "team_id_away" in x and "subquery" in x.lower()
+               for x in lines[unpivot + 1:])
 
 
 def test_season_filter_prunes_fact_partitions(gold):
