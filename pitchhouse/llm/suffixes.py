@@ -255,7 +255,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, core: int = CORE, hot: i
                                    pa.array(whole.view(np.int64)), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(inner)],
                                   names=["d", "tie", "key", "whole", "start", "n", "inner"])
 
-    every = base.mapInArrow(cut, "d long, tie long, key long, whole long, start int, n int, inner boolean")
+    # stored: both passes read it, and cutting costs more than reading
+    every = stored(base.mapInArrow(cut, "d long, tie long, key long, whole long, start int, n int, inner boolean"), "fragments")
     shared = (every.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("whole").alias("lo"), F.max("whole").alias("hi"),
                                        F.max("inner").alias("inner"))
               .where("c > 1 or inner").select("key", F.expr("lo <> hi or c = 1").alias("mixed")))
