@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchhouse.llm import decontam, fingerprints, mixing, quality, simhash, simple8b, suffixes, tokens, urls
+from pitchhouse.llm import decontam, fingerprints, lines, mixing, quality, simhash, simple8b, suffixes, tokens, urls
 from pitchhouse.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
 
@@ -55,6 +59,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     import corpus_pipeline
 
-    own = [op1_url_filters, op2_quality_classifier, op3_benchmark_decontamination, op4_token_counts, op5_simhash_near_dedup, op7_suffix_array_dedup,
+    own = [op1_url_filters, op2_quality_classifier, op3_benchmark_decontamination, op4_token_counts, op5_simhash_near_dedup, op6_line_dedup, op7_suffix_array_dedup,
            op8_token_id_output, op9_document_fingerprints, op10_mix_sources]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
