@@ -6,11 +6,12 @@ it, one random offset is added, and a document is emitted once for every whole
 number that its step of the sum crosses.  Ordered by size, the taken words stay
 within about one large document of the target.
 
-The order inside a source is: size class (a sixteenth of an octave), block (a
-digest of the id; as many blocks as rows need), size, id, digest of the text.
-The place in it is the sum of counts of earlier classes, of earlier blocks and a
-row number inside the block; no window holds more than a block's rows, a class's
-blocks or a source's classes, however hot a source is.
+The order inside a source is size, id, digest of the text, at every size of input.
+Rows are range-partitioned on source and that order and numbered inside each
+range; the place in the source is the count of its rows in earlier ranges and the
+number among its rows in the range.  A stored row number ends the order of the
+ranges, so a hot source, size or row spreads over many of them; how many ranges
+there are changes no place.
 
 Null texts have size 0, and null ids, sources and texts sort last.  Rows that are
 equal in id, size and text take places next to each other, in any order, which
@@ -26,7 +27,7 @@ from pitchhouse.llm.common import SPACE_WORD, stored
 
 #: Fixed values of the mix: weights by place of the source, share of all sizes, most copies.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
-#: Rows of a block, about.
+#: Rows of a range, about, where that gives more ranges than shuffle partitions.
 BLOCK_ROWS = 250_000
 SEED = "mix"
 
@@ -77,31 +78,24 @@ def copies(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most
            block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", text_col: str = "text",
            source_col: str = "source") -> DataFrame:
     """(doc_id, tie, size, source, source_size, target, copies) of every row."""
-    base = stored(sized(docs, id_col, text_col, source_col), "mix-sizes")
+    base = stored(sized(docs, id_col, text_col, source_col).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     goal = stored(targets(base, weights, share, most), "mix-targets")
-    blocks = max(1, -(-base.count() // block_rows))
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = (base.withColumn("class", F.when(F.col("size") > 0, F.expr(
-        "16L * (length(bin(size)) - 1) + shiftright(16 * size, length(bin(size)) - 1) - 16")).otherwise(F.lit(-1)))
-            .withColumn("block", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % blocks))
-    group = ["source", "class", "block"]
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    classes = (counts.groupBy("source", "class").agg(F.sum("n").alias("m"))
-               .select("source", "class", (F.sum("m").over(Window.partitionBy("source").orderBy("class"))
-                                           - F.col("m")).alias("lower")))
-    by_block = Window.partitionBy("source", "class").orderBy("block")
-    # the class of a source is found again through null-safe keys
-    before = (counts.withColumn("inner", F.sum("n").over(by_block) - F.col("n")).alias("c")
-              .join(classes.alias("k"), F.col("c.source").eqNullSafe(F.col("k.source")) & (F.col("c.class") == F.col("k.class")))
-              .select("c.source", "c.class", "c.block", (F.col("inner") + F.col("lower")).alias("before"))
-              .alias("b").join(goal.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source")))
-              .select("b.source", "b.class", "b.block", "before", "source_size", "target"))
-    inside = Window.partitionBy(*group).orderBy("size", F.col("doc_id").asc_nulls_last(), "tie")
-    numbered = rows.withColumn("i", F.row_number().over(inside)).alias("r")
-    placed = (numbered.join(before.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source"))
-                            & (F.col("r.class") == F.col("b.class")) & (F.col("r.block") == F.col("b.block")))
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // block_rows))
+    order = [F.col("source").asc_nulls_last(), "size", F.col("doc_id").asc_nulls_last(), "tie", "row"]
+    # range bounds come from a sample: the numbers are stored, never computed again
+    numbered = stored(base.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+                      .select("doc_id", "tie", "size", "source", F.monotonically_increasing_id().alias("at")), "mix-order")
+    numbered = numbered.withColumn("range", F.shiftright("at", 33))
+    counts = numbered.groupBy("source", "range").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    by_range = Window.partitionBy("source").orderBy("range")
+    # the range of a source is found again through null-safe keys
+    before = (counts.withColumn("before", F.sum("n").over(by_range) - F.col("n")).alias("c")
+              .join(goal.alias("g"), F.col("c.source").eqNullSafe(F.col("g.source")))
+              .select("c.source", "c.range", "first", "before", "source_size", "target"))
+    placed = (numbered.alias("r").join(before.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source"))
+                                       & (F.col("r.range") == F.col("b.range")))
               .select("doc_id", "tie", "size", "r.source", "source_size", "target",
-                      (F.col("before") + F.col("i")).cast("double").alias("place")))
+                      (F.col("before") + F.col("at") - F.col("first") + 1).cast("double").alias("place")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = _offset(F.col("source"), seed)
     crossed = F.floor(F.col("place") * rate + u) - F.floor((F.col("place") - 1) * rate + u)

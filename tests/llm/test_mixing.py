@@ -1,8 +1,9 @@
 import re
 
+import duckdb
 import pytest
 
-from pitchhouse.llm import mixing
+from pitchhouse.llm import mixing, sql
 
 from tests.llm.conftest import SCHEMA, prose, rows_of
 
@@ -62,6 +63,26 @@ def test_block_size_changes_no_target(docs):
     assert totals[0] == totals[1] == totals[2]
 
 
+def test_copies_equal_the_sql_at_every_block_size(spark):
+    """Many sizes within one class, ids that do not follow the sizes, a null source and an empty text."""
+    texts = [prose(i, 20 + i * 7 % 90) for i in range(160)] + ["", None, prose(9, 20)]
+    documents = spark.createDataFrame(rows_of(texts, lambda i: (None, "a", "b", "b", "b")[i % 5]), SCHEMA)
+    con = duckdb.connect()
+    con.register("documents", documents.toArrow())
+    want = sorted((r[0], r[1], r[4]) for r in con.execute(sql.MIX).fetchall())
+    for block_rows in (1, 7, 250_000):
+        got = mixing.copies(documents.repartition(5), block_rows=block_rows).collect()
+        assert sorted((r.doc_id, r.size, r.size * r.copies) for r in got) == want
+
+
+def test_equal_rows_take_places_next_to_each_other(spark):
+    rows = rows_of([prose(1, 20)] * 50 + [prose(i, 30) for i in range(20)], lambda i: "a" if i < 60 else "b")
+    rows = [(0, *r[1:]) if r[0] < 50 else r for r in rows]
+    documents = spark.createDataFrame(rows, SCHEMA)
+    found = [sorted((r.doc_id, r.copies) for r in mixing.copies(documents, block_rows=b).collect()) for b in (1, 250_000)]
+    assert found[0] == found[1] and len(found[0]) == 70
+
+
 def test_mixed_emits_the_copies_with_all_columns(docs):
     want = {r.doc_id: r.copies for r in mixing.copies(docs).collect() if r.copies}
     out = mixing.mixed(docs)
