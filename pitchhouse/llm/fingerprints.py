@@ -33,8 +33,6 @@ from pyspark.sql import functions as F
 from pitchhouse.llm.common import slices, stored, with_package
 
 LEVELS, BINS, ENOUGH = 4, 24, 8
-#: Texts of more code points leave the bins of the first level empty.
-FIRST_LEVEL = 1024
 #: Bytes of text taken at a time.
 STEP = 1 << 19
 
@@ -107,12 +105,8 @@ def fingerprints(texts: list[str]) -> np.ndarray:
         names, owner = _parse(names, owner, level)
         count = np.bincount(owner, minlength=len(texts))
         out[:, level, 0] = np.where(count, 1 + 8 * np.log2(np.maximum(count, 1)), 0)
-        who, found = owner, names
-        if level == 0:
-            small = sizes[owner] <= FIRST_LEVEL
-            who, found = owner[small], names[small]
         least = np.full(len(texts) * BINS, ~np.uint64(0))
-        np.minimum.at(least, who * BINS + (found % np.uint64(BINS)).astype(np.int64), found)
+        np.minimum.at(least, owner * BINS + (names % np.uint64(BINS)).astype(np.int64), names)
         value = (1 + (_mix(least) >> np.uint64(16)) % np.uint64(255)).astype(np.uint8)
         value[least == ~np.uint64(0)] = 0
         out[:, level, 1:] = value.reshape(-1, BINS)

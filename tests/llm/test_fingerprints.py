@@ -34,6 +34,20 @@ def test_a_text_is_like_its_edit_and_unlike_others():
     assert (fp.likeness(prints, prints) == 1).all()
 
 
+def test_long_repetitive_texts_are_like_their_copies(spark):
+    """Few distinct phrases on the upper levels, above and below 1,024 code points."""
+    line = "the same short line\n"
+    for text in ("A" * 1100, "ab" * 600, line * 60, "é" * 5000, "A" * 700, "A" * 1024, "A" * 1025):
+        a = fp.fingerprints([text, text])
+        assert fp.likeness(a[:1], a[1:])[0] == 1.0
+        rows = {r.doc_id: r for r in fp.edited(spark.createDataFrame(rows_of([text, text]), SCHEMA)).collect()}
+        assert rows[1].near_next == 1.0 and rows[0].near_next == 1.0
+        assert (rows[1].near_edited == 1.0) == (fp.edit(text, text) == text)
+    # a long text that keeps its repetitive half shares that half's phrases
+    kept = fp.fingerprints(["ab" * 600, fp.edit("ab" * 600, "cd" * 600), line * 60, fp.edit(line * 60, "z" * 1200)])
+    assert (fp.likeness(kept[::2], kept[1::2]) > 0).all()
+
+
 def test_batches_change_nothing():
     texts = ["", "a", "aaaa", "abab" * 50, prose(1, 100), "漢字" * 30, prose(2, 3000), ""]
     assert [r.tobytes().hex() for r in fp.fingerprints(texts)] == [one(t) for t in texts]
