@@ -8,9 +8,11 @@ w . (tanh(V h) * sigmoid(U h)) under a softmax over the bag, and a logistic unit
 scores the weighted sum.  Encoder, attention and classifier are trained together
 from document labels alone.
 
-The fit uses a bounded sample: per label the ``per_label`` labelled documents
-of least digest, of at most ``longest`` characters (both are parameters); each
-label counts by its share of all labels.  Scoring reads every whole text, and
+The fit uses a bounded sample: per label the first of the labelled documents in
+``docs`` by a digest of the id, at most ``per_label`` of them and until they have
+``most`` passages (both are parameters).  The one that reaches ``most`` is still
+taken whole, so no length is left out and a label that is in ``docs`` is in the
+fit; each label counts by its share of all labels.  Scoring reads every whole text, and
 neither label, language, source nor id is an input of a score.
 
 Null and empty texts are one passage without any byte and get a score.  Of
@@ -24,17 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchhouse.llm.common import slices, with_package
+from pitchhouse.llm.common import slices, stored, with_package
 
 PASSAGE = 512
 PAIRS, TRIPLES, KINDS = 256, 256, 12
 #: Bytes added to a passage's length, so that a short one shows less of what it happens to hold.
 SMOOTH = 48
 WIDTH, GATE = 24, 12
-PER_LABEL, LONGEST = 1200, 65_536
+#: Documents and passages (1200 texts of 65,536 bytes) of each label that the fit uses.
+PER_LABEL, MOST = 1200, 153_600
 THRESHOLD = 0.7
 
 
@@ -161,10 +164,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longest: int = LONGEST,
+def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, most: int = MOST,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict:
     """A model from a bounded sample: at most ``per_label`` documents of each
-    label, of at most ``longest`` characters, whose label may be learned from."""
+    label, until they have ``most`` passages, whose label may be learned from."""
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
              .where("y in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("y").alias("y"))
              .where(~held_out(F.col("doc_id"))))
@@ -172,13 +175,18 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longes
     if len(share) < 2:
         return {"share": float(next(iter(share), 1))}
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-             .where(F.coalesce(F.length("text"), F.lit(0)) <= longest))
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")))]
-    sample = []
-    for y in (0, 1):
-        # twice as many ids as wanted, so that too long and missing texts leave enough
-        ids = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_label)
-        sample += ids.join(texts, "doc_id").orderBy(*order).limit(per_label).select("doc_id", "y", "text").collect()
+             .withColumn("tie", F.md5(F.coalesce("text", F.lit("")))))
+    size = F.greatest(F.lit(1), F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / PASSAGE))
+    found = stored(texts.select("doc_id", "tie", size.alias("n")).join(known, "doc_id"), "quality-sample")
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("tie")]
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # the window holds per_label rows
+    first = [found.where(F.col("y") == y).orderBy(*order).limit(per_label)
+             .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < most) for y in (0, 1)]
+    picked = stored(first[0].union(first[1]).groupBy("doc_id", "tie", "y").agg(F.count(F.lit(1)).alias("times")), "quality-picked")
+    # equal rows are fetched once and counted
+    rows = texts.join(F.broadcast(picked), ["doc_id", "tie"]).groupBy("doc_id", "tie", "y", "times").agg(F.first("text").alias("text"))
+    sample = [r for r in sorted(rows.collect(), key=lambda r: (r.y, r.doc_id, r.tie)) for _ in range(r.times)]
     if len({r.y for r in sample}) < 2:
         return {"share": share.get(1, 0) / sum(share.values())}
     parts = [passages([r.text or ""]) for r in sample]

@@ -46,6 +46,29 @@ def test_held_out_labels_are_not_learned_from(spark, labelled):
     assert all(np.array_equal(a[k], b[k]) for k in a)
 
 
+def test_a_label_of_long_documents_or_of_few_known_ids_is_learned(spark):
+    """Every good text above 65,536 characters; most good labels of ids that are not in docs."""
+    rows = [(i, prose(i, 12_000) if i % 10 == 0 else junk(i, 30 + i), "en", "web", 0, i) for i in range(60)]
+    assert min(len(r[1]) for r in rows if r[0] % 10 == 0) > 65_536
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = [(r[0], int(r[0] % 10 == 0), 0) for r in rows]
+    wide = labels + [(i, 1, 0) for i in range(1000, 1400)]
+    for known, per_label in ((labels, 1200), (wide, 5)):
+        model = quality.train(docs, spark.createDataFrame(known, "doc_id long, quality int, toxic int"), per_label=per_label)
+        assert "share" not in model
+        p = quality.scores(model, [r[1] for r in rows])
+        assert np.mean(p[::10]) > np.mean(np.delete(p, slice(None, None, 10))) + 0.2
+
+
+def test_the_sample_is_bounded_by_passages(labelled, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, owner, y, weight: seen.append((len(x), y)) or {})
+    for most, per_label in ((1, 1200), (20, 1200), (10 ** 6, 7)):
+        quality.train(*labelled, per_label=per_label, most=most)
+    assert [sorted(y.tolist()) for _, y in seen][::2] == [[0.0, 1.0], [0.0] * 7 + [1.0] * 7]
+    assert 40 <= seen[1][0] < 40 + 2 * 20 and set(seen[1][1]) == {0.0, 1.0}
+
+
 def test_a_score_depends_on_the_text_alone(labelled):
     docs, labels = labelled
     model = quality.train(docs, labels)
