@@ -10,17 +10,24 @@ equal strings always meet under one key (the super-k-mers of k-mer counting).
 2. Of the other keys, each different fragment's text is fetched once, and shards
    of whole keys get the column-wise construction of Bauer, Cox and Rosone: in
    round j the j-th symbol from the end of every fragment is inserted into the
-   collection's Burrows-Wheeler transform, at the place that the last-to-first
-   mapping gives, and common prefixes with both neighbours follow from the
-   least common prefix between equal symbols one round before.  Transform, prefixes and names
-   are sequences that a round reads and writes once from front to back.  A suffix
-   whose prefix with a neighbour reaches ``width`` starts a repeated string.
+   collection, at the place that the last-to-first mapping gives, and common
+   prefixes with both neighbours follow from the least common prefix between equal
+   symbols one round before.  A suffix whose prefix with a neighbour reaches
+   ``width`` starts a repeated string.
 3. A key of more than ``hot`` different fragments is not put into one shard: its
    strings are counted by digest, whichever task they are in.
 
 Hashes of 64 bits under 64-bit keys stand for equality of fragments, SHA-256 for
 that of strings in step 3; step 2 compares the bytes themselves.
 
+What differs from the method on one collection: its texts are fragments, not
+documents, in many separate collections of about ``SHARD_BYTES`` bytes (a key is never
+divided, so up to ``hot`` fragments more), each held in the memory of a task; no
+sequence is kept in external files.  A round carries the sorted entries and the common
+prefixes; the transform itself is derived once, after the last round.  One
+collection of all documents would make every round a pass of one task over the
+whole corpus, while keys make the shards independent of each other.
+
 Null and empty texts have 0 bytes.  Rows that repeat id and text are different
 places: they count as repeats of each other, and each gives a row.  Other
 columns are not read.
