@@ -50,8 +50,8 @@ STAGES = [
     ("token-ID output", token_id_output),
 ]
 
-#: The classifier and the tokenizer cannot be expressed in SQL; tests/llm hold the
-#: pipeline against a brute-force version.
+#: The classifier and the tokenizer cannot be expressed in SQL; tests/llm/test_pipeline.py
+#: holds the pipeline against plain Python, with the classifier's decisions taken as given.
 ORACLE_SQL = None
 
 
