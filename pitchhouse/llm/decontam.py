@@ -8,9 +8,12 @@ all places of the window, the last interval that is not empty the longest
 verbatim match.  Words are numbered by a dictionary, so matches are exact, and
 the number 0 stands between documents, so that none crosses.
 
-The benchmark is the query set.  It is prepared in blocks of whole items
-(``BLOCK_WORDS`` words or one item), which go to the executors compressed; a
-task unpacks one block at a time.
+The benchmark is the query set.  Tasks prepare it in blocks of whole items
+(``BLOCK_WORDS`` words or one item), which are stored compressed.  Blocks of up to
+``SENT_BYTES`` (or one block) go to the executors at a time, and the documents are
+read once for each such group; a task unpacks one block at a time.  Neither the
+driver nor a broadcast holds more than a group.  Results of several groups are put
+together by id and digest of the text, on which alone they depend.
 
 Null and empty texts have no words.  An item with no words is in no document;
 an item without an id hits, but is not listed.  Of items with the same id, all
@@ -23,18 +26,21 @@ import hashlib
 import pickle
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchhouse.llm.common import slices, with_package
+from pitchhouse.llm.common import slices, stored, with_package
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
 BLOCK_WORDS = 500_000
+#: Compressed bytes of blocks that are sent to the executors at a time.
+SENT_BYTES = 64 << 20
 
 #: Fixed value: a word is a run of letters a-z, digits and characters beyond ASCII, after lower-casing A-Z.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -63,25 +69,37 @@ class Block:
         self.longest = int(sizes.max(initial=0))
 
 
-def blocks_of(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_words: int) -> list[bytes]:
-    """The benchmark, prepared and compressed, a block at a time."""
-    out, held, n = [], [], 0
+def blocks_of(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_words: int) -> DataFrame:
+    """(longest, size, image, block): the benchmark, prepared and compressed, a block a row."""
+    with_package(benchmark.sparkSession)
+    picked = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
+    # a small benchmark in many files is one task's, and one block
+    total = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(1, -(-total // (6 * block_words)))
 
-    def close() -> None:
-        nonlocal n
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def close() -> pa.RecordBatch:
+            block = Block(held, window)
+            image = zlib.compress(pickle.dumps(block), 1)
+            held.clear()
+            return pa.record_batch([pa.array([block.longest], pa.int64()), pa.array([len(image)], pa.int64()),
+                                    pa.array([image], pa.binary())], names=["longest", "size", "image"])
+
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if found := words_of(text.as_py()):
+                    held.append((item, found))
+                    n += len(found)
+                if n >= block_words:
+                    yield close()
+                    n = 0
         if held:
-            out.append(zlib.compress(pickle.dumps(Block(held, window)), 1))
-        held.clear()
-        n = 0
-
-    for r in benchmark.select(F.col(id_col).cast("long"), F.col(text_col)).toLocalIterator():
-        if found := words_of(r[1]):
-            held.append((r[0], found))
-            n += len(found)
-        if n >= block_words:
-            close()
-    close()
-    return out
+            yield close()
+
+    made = picked.coalesce(tasks).mapInArrow(run, "longest long, size long, image binary")
+    return stored(made.withColumn("block", F.monotonically_increasing_id()), "benchmark-blocks")
 
 
 class Shard:
@@ -204,10 +222,70 @@ def contaminated(texts: list[str], blocks: list[bytes], longest: int) -> tuple[l
 
 
 def _prepared(docs: DataFrame, benchmark: DataFrame, window: int, item_col: str, text_col: str, block_words: int):
+    """The stored blocks, the first and last block of each group, and the words of the longest item."""
     with_package(docs.sparkSession)
     blocks = blocks_of(benchmark, window, item_col, text_col, block_words)
-    longest = max([pickle.loads(zlib.decompress(b)).longest for b in blocks], default=1)
-    return docs.sparkSession.sparkContext.broadcast(blocks), longest
+    groups, total, longest = [], 0, 1
+    for r in blocks.select("block", "size", "longest").orderBy("block").toLocalIterator():
+        if not groups or total + r.size > SENT_BYTES:
+            groups.append([r.block, r.block])
+            total = 0
+        groups[-1][1] = r.block
+        total, longest = total + r.size, max(longest, r.longest)
+    return blocks, groups or [[0, -1]], longest
+
+
+def _send(blocks: DataFrame, group: list[int]):
+    images = [bytes(r[0]) for r in blocks.where(F.col("block").between(*group)).select("image").collect()]
+    return blocks.sparkSession.sparkContext.broadcast(images)
+
+
+def _searched(blocks: DataFrame, groups: list, longest: int, search: Callable) -> list[DataFrame]:
+    """``search(broadcast, longest)`` for each group; where there are several, each
+    result is stored before the next group is sent."""
+    if len(groups) == 1:
+        return [search(_send(blocks, groups[0]), longest)]
+    out = []
+    for group in groups:
+        sent = _send(blocks, group)
+        out.append(stored(search(sent, longest), "benchmark-group"))
+        sent.destroy()
+    return out
+
+
+def _tie(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def _merged(spans: list[dict]) -> list[dict]:
+    out: list[dict] = []
+    for s in sorted(spans, key=lambda s: (s["start"], s["stop"])):
+        if out and s["start"] <= out[-1]["stop"]:
+            out[-1]["stop"] = max(out[-1]["stop"], s["stop"])
+        else:
+            out.append(dict(s))
+    return out
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """One row for each document from a row of it in each part: spans and items united."""
+    # equal rows have equal results in a part: sets hold at most one value a part
+    per = (reduce(DataFrame.unionByName, parts).groupBy("doc_id", "tie", "n_words")
+           .agg(F.flatten(F.collect_set("spans")).alias("spans"),
+                F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+                (F.count(F.lit(1)) / len(parts)).cast("int").alias("times")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = pa.array([_merged(s) for s in batch.column(2).to_pylist()], _SPANS)
+            yield pa.record_batch([batch.column(0), batch.column(1), spans, batch.column(3)],
+                                  names=["doc_id", "n_words", "spans", "items"])
+
+    return (per.withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).select("doc_id", "n_words", "spans", "items")
+            .mapInArrow(run, "doc_id long, n_words long, spans array<struct<start:long,stop:long>>, items array<long>"))
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
@@ -215,19 +293,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """A row per document: words, spans [start, stop) of hit words, and the ids of
     the items that have a window in it, in ascending order."""
-    sent, longest = _prepared(docs, benchmark, window, item_col, item_text, block_words)
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), _tie(F.col(text_col)).alias("tie"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-        for _, texts, part in slices(batches, 1):
-            n, spans, items = contaminated(texts, sent.value, longest)
-            yield pa.record_batch([part.column(0), pa.array(n, pa.int64()),
-                                   pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], kind),
-                                   pa.array(items, pa.list_(pa.int64()))],
-                                  names=["doc_id", "n_words", "spans", "items"])
+    def search(sent, longest: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, texts, part in slices(batches, 1):
+                n, spans, items = contaminated(texts, sent.value, longest)
+                yield pa.record_batch([part.column(0), part.column(2), pa.array(n, pa.int64()),
+                                       pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], _SPANS),
+                                       pa.array(items, pa.list_(pa.int64()))],
+                                      names=["doc_id", "tie", "n_words", "spans", "items"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, n_words long, spans array<struct<start:long,stop:long>>, items array<long>"))
+        return picked.mapInArrow(run, "doc_id long, tie string, n_words long, spans array<struct<start:long,stop:long>>, "
+                                      "items array<long>")
+
+    parts = _searched(*_prepared(docs, benchmark, window, item_col, item_text, block_words), search)
+    return parts[0].drop("tie") if len(parts) == 1 else _together(parts)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -241,17 +322,32 @@ def digest(found: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` without any window of the benchmark, unchanged."""
-    sent, longest = _prepared(docs, benchmark, window, item_col, item_text, block_words)
-    at = docs.columns.index(text_col)
+    blocks, groups, longest = _prepared(docs, benchmark, window, item_col, item_text, block_words)
+    if len(groups) == 1:
+        sent, at = _send(blocks, groups[0]), docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = pa.record_batch([batch.column(at), batch.column(at)], names=["id", "text"])
-            clean = [not s for _, texts, _ in slices(iter([flat]), 1)
-                     for s in contaminated(texts, sent.value, longest)[1]]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                flat = pa.record_batch([batch.column(at), batch.column(at)], names=["id", "text"])
+                clean = [not s for _, texts, _ in slices(iter([flat]), 1)
+                         for s in contaminated(texts, sent.value, longest)[1]]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    text = F.col(f"`{text_col}`")
+    keyed = docs.select(_tie(text).alias("tie"), text.alias("text"))
 
-    return docs.mapInArrow(run, docs.schema)
+    def search(sent, longest: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, texts, part in slices(batches, 1):
+                hit = [bool(s) for s in contaminated(texts, sent.value, longest)[1]]
+                yield pa.record_batch([part.column(0).filter(pa.array(hit, pa.bool_()))], names=["_gone"])
+
+        return keyed.mapInArrow(run, "_gone string")
+
+    gone = reduce(DataFrame.union, _searched(blocks, groups, longest, search)).distinct()
+    return docs.join(gone, _tie(text) == F.col("_gone"), "left_anti")
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -259,26 +355,28 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     """For each item that shares a word with a document: the length in words of its
     longest verbatim match, where it starts in the item, and a document and word
     position where it stands (the least of each shard, then of all)."""
-    sent, longest = _prepared(docs, benchmark, WINDOW, item_col, item_text, block_words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, _ in slices(batches, 1):
-            shard, rows = Shard(texts, longest), []
-            for packed in sent.value:
-                block, best = pickle.loads(zlib.decompress(packed)), {}
-                first = np.searchsorted(block.item, np.arange(len(block.item_ids)))
-                for depth, live, lo, hi in shard.search(block, _numbers(shard, block)):
-                    _, k = np.unique(block.item[live], return_index=True)
-                    best.update({int(block.item[live[j]]): (depth, int(live[j]), int(lo[j]), int(hi[j])) for j in k})
-                for item, (depth, s, lo, hi) in best.items():
-                    place = int(shard.array[lo:hi].min())
-                    d = int(np.searchsorted(shard.begin, place, "right")) - 1
-                    rows.append((block.item_ids[item], depth, s - int(first[item]), ids[d], place - int(shard.begin[d])))
-            yield pa.record_batch([pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)],
-                                  names=["item_id", "length", "item_start", "doc_id", "doc_start"])
-
-    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "item_id long, length long, item_start long, doc_id long, doc_start long"))
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def search(sent, longest: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for ids, texts, _ in slices(batches, 1):
+                shard, rows = Shard(texts, longest), []
+                for packed in sent.value:
+                    block, best = pickle.loads(zlib.decompress(packed)), {}
+                    first = np.searchsorted(block.item, np.arange(len(block.item_ids)))
+                    for depth, live, lo, hi in shard.search(block, _numbers(shard, block)):
+                        _, k = np.unique(block.item[live], return_index=True)
+                        best.update({int(block.item[live[j]]): (depth, int(live[j]), int(lo[j]), int(hi[j])) for j in k})
+                    for item, (depth, s, lo, hi) in best.items():
+                        place = int(shard.array[lo:hi].min())
+                        d = int(np.searchsorted(shard.begin, place, "right")) - 1
+                        rows.append((block.item_ids[item], depth, s - int(first[item]), ids[d], place - int(shard.begin[d])))
+                yield pa.record_batch([pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)],
+                                      names=["item_id", "length", "item_start", "doc_id", "doc_start"])
+
+        return picked.mapInArrow(run, "item_id long, length long, item_start long, doc_id long, doc_start long")
+
+    rows = reduce(DataFrame.union, _searched(*_prepared(docs, benchmark, WINDOW, item_col, item_text, block_words), search))
     best = F.min(F.struct((-F.col("length")).alias("less"), "doc_id", "doc_start", "item_start")).alias("best")
     return (rows.groupBy("item_id").agg(best)
             .select("item_id", (-F.col("best.less")).alias("length"), "best.item_start", "best.doc_id", "best.doc_start"))

@@ -61,6 +61,32 @@ def test_clean_documents_stay_whole(spark):
     assert sorted(tuple(r) for r in left.collect()) == want
 
 
+def test_a_broadcast_holds_a_bounded_part_of_the_benchmark(spark, monkeypatch):
+    """Every block its own group: results as from all blocks at once, repeated rows kept."""
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or broadcast(self, value))
+    monkeypatch.setattr(decontam, "SENT_BYTES", 1, raising=False)
+    texts = planted() + [ITEMS[0][1] + " " + ITEMS[3][1] + " ~ " + ITEMS[7][1]]
+    rows = rows_of(texts) + [rows_of(texts)[-1]] * 2 + [(None, *rows_of(texts)[1][1:])] * 2
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string").repartition(2)
+    got = decontam.contamination(docs, bench, block_words=20)
+    found = decontam.digest(got).collect()
+    assert sum(isinstance(v, list) for v in sent) > 3 and all(len(v) == 1 for v in sent if isinstance(v, list))
+    by = {r[0]: r[1] for r in rows}
+    order = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(map(tuple, found), key=order) == sorted([(r[0], *brute(by[r[0]], ITEMS)) for r in rows], key=order)
+    assert all(a.stop < b.start for r in got.collect() for a, b in zip(r.spans, r.spans[1:]))
+    left = decontam.decontaminate(docs, bench, block_words=20)
+    assert left.columns == docs.columns
+    want = [r for r in rows if not brute(r[1], ITEMS)[-1]]
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(want, key=repr)
+    once = decontam.longest_matches(docs, bench, block_words=20).collect()
+    monkeypatch.setattr(decontam, "SENT_BYTES", 1 << 20, raising=False)
+    key = lambda r: (r.item_id is None, r.item_id or 0, r.length)
+    assert sorted(once, key=key) == sorted(decontam.longest_matches(docs, bench, block_words=20).collect(), key=key)
+
+
 def test_longest_matches(spark):
     docs = spark.createDataFrame(rows_of([prose(5, 30) + " " + " ".join(words(ITEMS[3][1])[5:25]) + " zz"]), SCHEMA)
     bench = spark.createDataFrame([ITEMS[3]], "item_id long, text string")
