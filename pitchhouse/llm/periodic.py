@@ -54,7 +54,7 @@ class Automaton:
     """Suffix automaton of a sequence of numbers.  State 1 is the root, 0 is no
     state.  Of a state's edges one is kept in the arrays, others in ``wide``."""
 
-    def __init__(self, items: list[int]):
+    def __init__(self, items: list[int] | array):
         self.length, self.link = array("i", [0, 0]), array("i", [0, 0])
         self.word, self.to = array("i", [-1, -1]), array("i", [0, 0])
         self.wide: dict[int, dict[int, int]] = {}
@@ -107,7 +107,7 @@ class Automaton:
             self.prefix.append(cur)
 
 
-def squares(items: list[int]) -> list[tuple[int, int]]:
+def squares(items: list[int] | array) -> list[tuple[int, int]]:
     """(start, period) of the leftmost square of every run, of any length."""
     states = Automaton(items)
     length, prefix = states.length, states.prefix
@@ -218,7 +218,7 @@ def extended(items: np.ndarray, start: int, period: int) -> int:
 def runs(items: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
     """(start, length, period) of every run, by start, then period."""
     out = []
-    for start, period in squares(items.tolist()):
+    for start, period in squares(array("i", items.astype(np.int32).tobytes())):
         n = extended(items, start, period)
         if n >= least:
             out.append((start, n, period))
