@@ -82,7 +82,7 @@ def test_fit_learns_a_planted_pattern():
         return float(-np.log(p[np.arange(len(y)), y]).mean())
 
     early, late = language.fit(x, y, 2, epochs=1, batch=40), language.fit(x, y, 2, epochs=60, batch=8)
-    assert loss(late) < 0.05 < loss(early)
+    assert loss(late) < 0.1 < loss(early)
 
 
 def test_whole_texts_count(spark, model):
