@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchhouse.llm import (decontam, fingerprints, language, lines, mixing, periodic, quality, simhash, simple8b,
-                            suffixes, tokens, urls)
+                            suffixes, tokens, trie, urls)
 from pitchhouse.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.languages(docs, language.train(docs))
@@ -71,5 +75,5 @@ def queries() -> dict[str, QueryFn]:
 
     own = [op1_url_filters, op2_quality_classifier, op3_benchmark_decontamination, op4_token_counts, op5_simhash_near_dedup, op6_line_dedup, op7_suffix_array_dedup,
            op8_token_id_output, op9_document_fingerprints, op10_mix_sources,
-           op12_language_id, op13_periodic_runs]
+           op11_conversation_prefix_trie, op12_language_id, op13_periodic_runs]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}

@@ -126,5 +126,54 @@ FROM base b JOIN posterior p USING (host) LEFT JOIN fits f ON b.host = f.host AN
 }
 
 
+TRIE = r"""
+WITH powers AS (
+  -- CRC-32 of every byte, from its polynomial
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END) ORDER BY i) AS of_byte
+  FROM (SELECT unnest(range(256))::BIGINT AS i)
+), turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32)) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 100 AS base, count(*) AS n,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda k: ascii(k)::BIGINT)),
+                         lambda v, k: xor(v // 256, of_byte[1 + xor(v, k) % 256])), 4294967295) % 6 AS h
+  FROM turns CROSS JOIN powers GROUP BY c, of_byte
+), sized AS (
+  SELECT v.c, v.base, v.h, least(v.h, coalesce(b.n, 0)) AS taken FROM convs v LEFT JOIN convs b ON b.c = v.base
+), built AS (
+  SELECT t.c, t.pos - s.h + s.taken AS d, t.r, t.x FROM turns t JOIN sized s ON s.c = t.c WHERE t.pos > s.h
+  UNION ALL
+  SELECT s.c, t.pos, t.r, t.x FROM turns t JOIN sized s ON s.base = t.c WHERE t.pos <= s.h
+), ways AS (
+  SELECT c, d, length(x) AS chars,
+         string_agg(length(r) || ':' || r || length(x) || ':' || x, '') OVER (PARTITION BY c ORDER BY d) AS p
+  FROM built
+  UNION ALL
+  SELECT c, 0, 0, '' FROM convs
+), linked AS (
+  SELECT *, lag(p) OVER (PARTITION BY c ORDER BY d) AS up, lead(d) OVER (PARTITION BY c ORDER BY d) IS NULL AS ends FROM ways
+), nodes AS (
+  SELECT d, p, any_value(up) AS up, any_value(chars) AS chars, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY d, p
+), children AS (SELECT up AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up),
+under AS (
+  SELECT DISTINCT a.p AS top, b.p FROM ways a JOIN ways b ON a.c = b.c AND b.d >= a.d
+), sums AS (
+  SELECT u.top AS p, count(*) FILTER (k.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+  FROM under u JOIN nodes n ON n.p = u.p LEFT JOIN children k ON k.p = u.p GROUP BY u.top
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, q.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(k.n_children, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+       n.ends_sha256
+FROM nodes n JOIN sums s ON s.p = n.p LEFT JOIN children k ON k.p = n.p LEFT JOIN nodes q ON q.p = n.up
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": URLS, "op3_benchmark_decontamination": DECONTAMINATION, "op10_mix_sources": MIX}
+    return {"op1_url_filters": URLS, "op3_benchmark_decontamination": DECONTAMINATION, "op10_mix_sources": MIX,
+            "op11_conversation_prefix_trie": TRIE}
