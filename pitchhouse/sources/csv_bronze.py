@@ -1,95 +1,115 @@
-"""CSV files → bronze: land every column as text, merge files by column name.
+"""CSV files → bronze: land every column as text, merged by column name.
 
 Files of different seasons carry different columns, in different orders.
-One Spark CSV read over files with different headers would map values by
-*position*; so files are grouped by their header line first and each group is
-read with its own all-text schema (no type inference: inference would turn a
-kick-off time into today's timestamp and an odds column into a number that
-a later text file cannot be merged with).  The groups are then merged with
-``unionByName(allowMissingColumns=True)``: a column missing from a file is
-NULL.  Each row carries its season (from the file name), the file name and
-the load time.
-
-Header lines are read by a distributed job (one task per batch of files, via
-``pyarrow.fs``, so local, HDFS and object-store paths all work); only file
-names and header lines reach the driver, never rows.
+
+* ``source_files`` lists them through the file system that Spark reads with (any
+  scheme, bare paths on the default file system, nested wildcards) as a DataFrame.
+* ``csv_headers`` gives every file's column names.  One pass over the lines keeps
+  each file's first line and whether any record may span lines; names are
+  unquoted, empty ones are named by their position and repeated ones numbered,
+  without regard to case.
+* ``land_csv`` reads all files in one scan by position, joins each record with
+  the names of its own file and puts every field under its name.  Columns that a
+  file lacks are NULL.  Each row carries its season (from the file name), the file
+  name and the load time.
+
+Files split at line ends unless some record spans lines; then every file is read
+as a whole.  Neither paths nor rows are gathered on the driver, only the union of
+the column names, which is the schema.
 """
 
 from __future__ import annotations
 
 import csv
-import functools
-import glob as _glob
 import io
-import os
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pitchhouse.functions.season import season_from_filename
+from pitchhouse.operators.joins import bounded_broadcast
+from pitchhouse.operators.keys import materialize
 from pitchhouse.session import ship_package
 
+#: Lines that a header may span.
+HEADER_LINES = 100
+
 
 class NoSourceFiles(FileNotFoundError):
     """Raised before anything is written when the pattern matches no file."""
 
 
-def list_files(pattern: str) -> list[str]:
-    """Files matching ``pattern``, sorted (local paths or ``scheme://`` URIs;
-    wildcards may appear in folder components too)."""
-    if pattern.startswith("file:"):  # local URI (file:/x or file:///x)
-        pattern = "/" + pattern[len("file:"):].lstrip("/")
-    if "://" not in pattern:
-        return sorted(p for p in _glob.glob(pattern) if os.path.isfile(p))
-    import fnmatch
-
-    from pyarrow import fs
-    scheme, rest = pattern.split("://", 1)
-    static = rest[:rest.index("*")] if "*" in rest else rest
-    base = static.rsplit("/", 1)[0]
-    filesystem, base_path = fs.FileSystem.from_uri(f"{scheme}://{base}")
-    base_path = base_path.rstrip("/")
-    wanted = base_path + rest[len(base):]
-    infos = filesystem.get_file_info(fs.FileSelector(base_path, recursive=True))
-    return sorted(f"{scheme}://{base}{i.path[len(base_path):]}" for i in infos
-                  if i.type == fs.FileType.File and fnmatch.fnmatch(i.path, wanted))
-
-
-def _header_batches(batches):
-    from pyarrow import fs
-    for pdf in batches:
-        heads = []
-        for p in pdf["path"]:
-            if "://" in p:
-                filesystem, path = fs.FileSystem.from_uri(p)
-            else:
-                filesystem, path = fs.LocalFileSystem(), p
-            buf = b""
-            with filesystem.open_input_stream(path) as f:
-                while b"\n" not in buf:
-                    chunk = f.read(1 << 16)
-                    if not chunk:
-                        break
-                    buf += chunk
-            heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
-
-
-def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header line) for every file, read by the executors."""
-    ship_package(spark)
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
-    return files.mapInPandas(_header_batches, "path string, header string")
+def _reader(spark: SparkSession, recursive: bool):
+    return spark.read.option("recursiveFileLookup", recursive)
+
 
+def _checked(load, pattern: str) -> DataFrame:
+    try:
+        return load()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            raise NoSourceFiles(f"no CSV file matches {pattern}") from e
+        raise
 
-def _columns(header: str) -> list[str]:
-    return next(csv.reader(io.StringIO(header)))
 
+def source_files(spark: SparkSession, pattern: str, recursive: bool = False) -> DataFrame:
+    """(path, bytes, modified) of the files that match; contents are not read.
+    ``recursive`` also takes the files in all folders below a matching one."""
+    found = _checked(lambda: _reader(spark, recursive).format("binaryFile").load(pattern), pattern)
+    return found.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
-def _source_name(source_name: str):
+
+def column_names(header: str, sep: str = ",") -> list[str]:
+    """The names of a header record: unquoted, empty ones by position, repeated
+    ones (in any case) numbered."""
+    out: list[str] = []
+    seen: dict[str, int] = {}
+    for i, name in enumerate(next(csv.reader(io.StringIO(header.removeprefix("﻿"), newline=""), delimiter=sep), [])):
+        name = name or f"column{i}"
+        while name.lower() in seen:
+            seen[name.lower()] += 1
+            name = f"{name}_{seen[name.lower()]}"
+        seen[name.lower()] = 0
+        out.append(name)
+    return out
+
+
+def csv_headers(spark: SparkSession, pattern: str, sep: str = ",", recursive: bool = False) -> DataFrame:
+    """(path, names, spans): a file's columns, and whether a record may span
+    lines (some line has an odd number of quotes).  A file without lines has no row."""
+    ship_package(spark)
+    lines = _checked(lambda: _reader(spark, recursive).text(pattern), pattern).select(
+        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"),
+        (F.col("_metadata.file_block_start") == 0).alias("begins"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    place = F.when(F.col("begins"), F.col("at"))
+    heads = materialize(lines.groupBy("path").agg(
+        F.min_by("value", place).alias("header"), F.min(place).alias("first"),
+        (F.max(quotes % 2) == 1).alias("spans")).where("header is not null"), "csv-heads")
+    open_header = heads.where((F.length("header") - F.length(F.replace("header", F.lit('"'), F.lit("")))) % 2 == 1)
+    # the same frame is scanned in the same pieces, so a line keeps its place
+    more = (lines.where("begins").join(F.broadcast(open_header.select("path", "first")), "path")
+            .where((F.col("at") >= F.col("first")) & (F.col("at") < F.col("first") + HEADER_LINES))
+            .groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("x"))
+            .select("path", F.array_join("x.value", "\n").alias("header"), F.lit(True).alias("spans")))
+    if open_header.isEmpty():
+        texts = heads.select("path", "header", "spans")
+    else:
+        texts = heads.join(more.select("path"), "path", "left_anti").select("path", "header", "spans").unionByName(more)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [column_names(h, sep) for h in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(names, pa.list_(pa.string())), batch.column(2)],
+                                  names=["path", "names", "spans"])
+
+    return materialize(texts.mapInArrow(parse, "path string, names array<string>, spans boolean"), "csv-headers")
+
+
+def _source_name(source_name: str) -> Column:
     if source_name == "file":
         return F.url_decode(F.col("_metadata.file_name"))
     if source_name == "directory":
@@ -102,28 +122,39 @@ def _source_name(source_name: str):
     raise ValueError(f"source_name must be 'file' or 'directory', not {source_name!r}")
 
 
-def land_csv(spark: SparkSession, pattern: str, source_name: str = "file") -> DataFrame:
+def land_csv(spark: SparkSession, pattern: str, source_name: str = "file", sep: str = ",",
+             recursive: bool = False) -> DataFrame:
     """Read all files matching ``pattern`` into one all-text DataFrame.
 
-    Columns: the union of all file columns (first-seen order), then
-    ``season``, ``_source_file`` and ``_loaded_at``.  ``source_name`` says
-    where the source file name (and so the season) comes from: the file
-    itself (``LaLiga 22-23.csv``) or, for the part files of a partitioned
-    writer, their partition folder (``_source_file=LaLiga 22-23.csv/``).
+    Columns: the union of all file columns (by file, then position; names that
+    differ in case only are one column), then ``season``, ``_source_file`` and
+    ``_loaded_at``.  A record with fewer fields than its header has NULLs at its
+    end; one with a value beyond its header fails the load.  ``source_name`` says
+    where the source file name (and so the season) comes from: the file itself
+    (``LaLiga 22-23.csv``) or, for the part files of a partitioned writer, their
+    partition folder (``_source_file=LaLiga 22-23.csv/``).
     """
-    paths = list_files(pattern)
-    if not paths:
-        raise NoSourceFiles(f"no CSV file matches {pattern}")
-    groups = (read_headers(spark, paths).groupBy("header")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-              .orderBy(F.element_at("paths", 1)).collect())
-    file_name = _source_name(source_name)
-    frames = []
-    for g in groups:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in _columns(g["header"])])
-        df = (spark.read.option("header", True).option("enforceSchema", False)
-              .option("mode", "FAILFAST").schema(schema).csv(list(g["paths"])))
-        frames.append(df.select("*", season_from_filename(file_name).alias("season"),
-                                file_name.alias("_source_file"),
-                                F.current_timestamp().alias("_loaded_at")))
-    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    heads = csv_headers(spark, pattern, sep, recursive)
+    one = heads.agg(F.count(F.lit(1)).alias("files"), F.max(F.size("names")).alias("width"), F.max("spans").alias("spans")).first()
+    if not one["files"]:
+        raise NoSourceFiles(f"no CSV file with a header matches {pattern}")
+    columns = [r["first"]["name"] for r in (
+        heads.select("path", F.posexplode("names").alias("pos", "name"))
+        .groupBy(F.lower("name").alias("k")).agg(F.min(F.struct("path", "pos", "name")).alias("first"))
+        .orderBy("first").collect())]
+    lower = F.transform("names", F.lower)
+    places = heads.select("path", F.size("names").alias("n"),
+                          F.array(*[F.array_position(lower, c.lower()).cast("int") for c in columns]).alias("places"))
+    by_place = ", ".join(f"f{i} string" for i in range(one["width"] + 1))  # one more: fields beyond the widest header
+    name = _source_name(source_name)
+    records = (_reader(spark, recursive).schema(by_place).option("header", True).option("enforceSchema", True)
+               .option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", bool(one["spans"])).csv(pattern)
+               .select(F.array(*[f"f{i}" for i in range(one["width"] + 1)]).alias("fields"),
+                       F.col("_metadata.file_path").alias("path"), name.alias("_source_file")))
+    rows = records.join(bounded_broadcast(places, one["files"]), "path")
+    beyond = F.exists(F.slice("fields", F.col("n") + 1, one["width"] + 1), lambda x: x.isNotNull())
+    source = F.when(beyond, F.raise_error(F.concat(F.lit("record with more fields than the header of "), "path")).cast("string")) \
+        .otherwise(F.col("_source_file"))
+    fields = [F.when(F.col("places")[i] > 0, F.col("fields")[F.col("places")[i] - 1]).alias(c) for i, c in enumerate(columns)]
+    return rows.select(*fields, season_from_filename(F.col("_source_file")).alias("season"), source.alias("_source_file"),
+                       F.current_timestamp().alias("_loaded_at"))

@@ -109,14 +109,107 @@ def test_full_refresh_from_csv_files(spark, raw_dir):
         sorted(map(tuple, again.gold.fact.collect()))
 
 
-def test_list_files_forms(tmp_dir):
-    from pitchhouse.sources.csv_bronze import list_files
-    for sub in ("a", "b"):
+def test_source_files_forms(spark, tmp_dir):
+    """Bare paths, URIs, nested wildcards and whole folders list the same files."""
+    from pitchhouse.sources.csv_bronze import source_files
+    for sub in ("a", "b/c"):
         os.makedirs(os.path.join(tmp_dir, sub))
         for name in ("LaLiga 22-23.csv", "notes.txt"):
-            open(os.path.join(tmp_dir, sub, name), "w").close()
-    want = [os.path.join(tmp_dir, s, "LaLiga 22-23.csv") for s in ("a", "b")]
-    assert list_files(os.path.join(tmp_dir, "*", "*.csv")) == want
-    assert list_files("file:" + os.path.join(tmp_dir, "*", "*.csv")) == want
-    assert list_files("file://" + os.path.join(tmp_dir, "*", "*.csv")) == want
-    assert list_files(os.path.join(tmp_dir, "*.csv")) == []
+            with open(os.path.join(tmp_dir, sub, name), "w") as f:
+                f.write("x" * (1 + len(sub)))
+
+    def found(pattern, **kw):
+        return sorted((r["path"].removeprefix("file:"), r["bytes"]) for r in source_files(spark, pattern, **kw).collect())
+
+    a, b = (os.path.join(tmp_dir, s, "LaLiga 22-23.csv") for s in ("a", "b/c"))
+    assert found(tmp_dir + "/{a,b/c}/*.csv") == found("file:" + tmp_dir + "/{a,b/c}/*.csv") == \
+        found("file://" + tmp_dir + "/{a,b/c}/*.csv") == [(a, 2), (b, 4)]
+    assert found(tmp_dir + "/*/*/*.csv") == [(b, 4)]
+    assert [p for p, _ in found(tmp_dir, recursive=True)] == sorted([a, b, a[:-16] + "notes.txt", b[:-16] + "notes.txt"])
+    with pytest.raises(NoSourceFiles):
+        source_files(spark, tmp_dir + "/*.csv")
+
+
+#: Header lines as users have them, and records that go with them.
+ODD_FILES = {
+    "LaLiga 20-21.csv": 'HomeTeam,,FTHG,FTHG,,"Note, long"\nGirona,x,1,2,y,"one\ntwo"\nBetis,,3,4,,"say ""hi"""\n',
+    "LaLiga 21-22.csv": '"Home\nGoals",HomeTeam,fthg\n7,Cadiz,5\n8,Eibar\n',
+    "LaLiga 22-23.csv": "\ufeffHomeTeam,FTHG,Fthg,FTHG_1\r\nAlaves,1,2,3\r\n",
+}
+
+
+@pytest.fixture()
+def odd_dir(tmp_dir):
+    for name, text in ODD_FILES.items():
+        with open(os.path.join(tmp_dir, name), "w", newline="", encoding="utf-8") as f:
+            f.write(text)
+    return tmp_dir
+
+
+def test_header_names_as_duckdb(spark, odd_dir):
+    import duckdb
+
+    from pitchhouse.sources.csv_bronze import column_names, csv_headers
+    got = {r["path"].rsplit("/", 1)[1].replace("%20", " "): (r["names"], r["spans"]) for r in csv_headers(spark, odd_dir + "/*.csv").collect()}
+    for name in ODD_FILES:
+        path = os.path.join(odd_dir, name)
+        rel = duckdb.sql(f"SELECT * FROM read_csv('{path}', header=true, all_varchar=true, delim=',', quote='\"', escape='\"', null_padding=true)")
+        assert got[name][0] == rel.columns
+    assert [got[n][1] for n in sorted(got)] == [True, True, False]
+    assert column_names("a,,A,a_1,") == ["a", "column1", "A_1", "a_1_1", "column4"]
+
+
+def test_records_take_their_own_header(spark, odd_dir):
+    """Line breaks in values and headers, empty and repeated names, short records."""
+    bronze = land_csv(spark, odd_dir + "/*.csv")
+    assert bronze.columns == ["HomeTeam", "column1", "FTHG", "FTHG_1", "column4", "Note, long", "Home\nGoals", "FTHG_1_1",
+                              "season", "_source_file", "_loaded_at"]
+    rows = {r["HomeTeam"]: r.asDict() for r in bronze.collect()}
+    assert rows["Girona"]["Note, long"] == "one\ntwo" and rows["Betis"]["Note, long"] == 'say "hi"'
+    assert (rows["Girona"]["column1"], rows["Girona"]["column4"]) == ("x", "y")
+    assert (rows["Girona"]["FTHG"], rows["Girona"]["FTHG_1"]) == ("1", "2")
+    assert rows["Cadiz"]["Home\nGoals"] == "7" and rows["Cadiz"]["FTHG"] == "5"
+    assert rows["Eibar"]["FTHG"] is None and rows["Eibar"]["season"] == "2021-22"
+    assert [rows["Alaves"][c] for c in ("FTHG", "FTHG_1", "FTHG_1_1")] == ["1", "2", "3"]
+
+
+def test_a_record_beyond_its_header_fails(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "LaLiga 22-23.csv"), "w") as f:
+        f.write("Div,HomeTeam\nSP1,Girona,9\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        land_csv(spark, os.path.join(tmp_dir, "*.csv")).collect()
+
+
+TYPED_1 = ("n,x,big,flag,day,stamp,clock,mix,zero,only1,gone\n"
+           "1,1.5,99999999999999999999,true,15/08/2022,2022-08-15 10:00:00,20:00,7,007,5,\n"
+           "-2,2,1,false,01/02/2022,2022-08-16 11:30:00,21:15,8,1,6,\n")
+TYPED_2 = ("day,n,x,big,flag,stamp,clock,mix,zero,gone\n"
+           "2023-08-15,2.5,1e3,3,yes,2023-01-01,13:00,high,1,4\n"
+           ",,.5,4,no,2023-01-02,,1,2,\n")
+
+
+def test_inferred_types_as_duckdb(spark, tmp_dir):
+    """Files typed one by one and united by name, as the source's loader does."""
+    import duckdb
+
+    from pitchhouse.sources.inference import typed
+    for name, text in (("LaLiga 22-23.csv", TYPED_1), ("LaLiga 23-24.csv", TYPED_2)):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    want = duckdb.sql(" UNION ALL BY NAME ".join(
+        f"SELECT *, '{n}' AS _source_file FROM read_csv_auto('{os.path.join(tmp_dir, n)}', header=true, sample_size=-1)"
+        for n in ("LaLiga 22-23.csv", "LaLiga 23-24.csv")))
+    got = typed(land_csv(spark, os.path.join(tmp_dir, "*.csv"))).drop("_loaded_at", "season")
+    names = {"BIGINT": "bigint", "DOUBLE": "double", "HUGEINT": "decimal(38,0)", "BOOLEAN": "boolean", "DATE": "date",
+             "TIMESTAMP": "timestamp_ntz", "TIME": "string", "VARCHAR": "string"}
+    types = dict(zip(want.columns, map(str, want.types)))
+    only = {"only1"}  # a file without the column does not bear on its type there, as in a union by name
+    assert {c: t for c, t in got.dtypes if c not in only} == {c: names[t] for c, t in types.items() if c not in only}
+    key = lambda r: str(r["x"])
+    a = sorted((r.asDict() for r in got.collect()), key=key)
+    b = sorted((dict(zip(want.columns, r)) for r in want.fetchall()), key=key)
+    for x, y in zip(a, b, strict=True):
+        for c in types:
+            if c not in only:
+                v = y[c].strftime("%H:%M") if isinstance(y[c], dt.time) else y[c]
+                assert (str(x[c]) == str(v)) or x[c] == v, (c, x[c], v)
