@@ -16,12 +16,12 @@ it, so it is used only for inputs whose row count was checked.
 2. write that frame as a table to the shared checkpoint folder — range bounds
    come from sampling, so the tagging must be stored, never recomputed;
 3. count rows per partition from the stored table (one column read), turn the
-   counts into offsets — one row per partition, so the offset table is bounded
-   by the partition count, is written next to the rows and is broadcast — and
-   read the id as ``offset + position + 1``.
+   counts into offsets (their prefix sum; one row per partition, so the offset
+   table is bounded by the partition count and is broadcast) and write the rows
+   again with the id ``offset + position + 1``.
 
-The returned frame reads the stored rows; the id costs a broadcast hash join
-against the offsets, so the rows are written once.  Rows that tie on
+The second write moves rows without a shuffle; every later read has the id as a
+stored column and joins nothing.  Rows that tie on
 ``order`` get ids in ``tiebreak`` order (or hash-then-random order without
 one); when ``order`` covers every output column, tying rows are identical
 and the numbered result does not depend on how their ties were broken.
@@ -60,12 +60,13 @@ def _quoted(c: str):
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                row_id: str | None = None) -> DataFrame:
+                row_id: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back
     (cuts the lineage; a lost executor re-reads instead of recomputing).
 
     ``row_id`` adds a unique long column (partition id and position at write
     time); once stored it is a fixed row identity for later total orders.
+    ``codec``: a compression other than the session's, for rows read once.
     """
     path = work_dir(df.sparkSession, name)
     if row_id:
@@ -73,6 +74,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if codec:
+        writer = writer.option("compression", codec)
     writer.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     return out.select(*[_quoted(c) for c in df.columns])
@@ -114,15 +117,16 @@ def dense_ids(df: DataFrame, order: list[str], id_col: str, keep: list[str] | No
     pid = F.spark_partition_id().cast("long")
     tagged = ranged.select(*[_quoted(c) for c in keep], pid.alias(_PID),
                            (F.monotonically_increasing_id() - F.shiftleft(pid, 33)).alias(_POS))
-    stored = materialize(tagged, f"{name}-rows", partition_by)
+    stored = materialize(tagged, f"{name}-rows", codec="snappy")
 
     counts = stored.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(counts.select(
         _PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("long").alias(_OFF)),
         f"{name}-offsets")
-    return stored.join(F.broadcast(offsets), _PID).select(
+    numbered = stored.join(F.broadcast(offsets), _PID).select(
         (F.col(_OFF) + F.col(_POS) + F.lit(1)).alias(id_col), *[_quoted(c) for c in keep])
+    return materialize(numbered, f"{name}-numbered", partition_by)
 
 
 def surrogate_ids(df: DataFrame, order: list[str], id_col: str, name: str = "dim",

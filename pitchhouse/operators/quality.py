@@ -1,6 +1,8 @@
 """Declarative data tests: unique, not_null, accepted_values, row-count integrity.
 
-Failure counts follow the usual data-test definitions:
+``integrity_by_group`` compares two sides as multisets, group by group; ``relationships``
+counts rows whose key has no parent.  Failure counts follow the usual data-test
+definitions:
 
 * ``not_null(c)``  – rows where ``c`` is NULL;
 * ``unique(c)``    – distinct non-NULL values of ``c`` that occur more than once;
@@ -91,3 +93,52 @@ def row_count_integrity(source: DataFrame, target: DataFrame,
     return tagged.agg(F.coalesce(s, F.lit(0)).alias(source_name),
                       F.coalesce(t, F.lit(0)).alias(target_name)).select(
         source_name, target_name, (F.col(source_name) - F.col(target_name)).alias("difference"))
+
+
+def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str, child_name: str) -> DataFrame:
+    """Rows of ``child`` whose ``fk`` is not NULL and no ``pk`` of ``parent``.
+
+    Distinct keys are counted first (partial before the shuffle), so the anti join
+    handles one row a key however many rows share it."""
+    keys = child.where(_q(fk).isNotNull()).groupBy(_q(fk).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    orphans = keys.join(parent.select(_q(pk).alias("k")).distinct(), "k", "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("failures")).select(
+        F.lit(child_name).alias("table_name"), F.lit(fk).alias("column_name"), F.lit("relationships").alias("test_name"), "failures")
+
+
+def relationships(tests: list[tuple[DataFrame, str, DataFrame, str, str]]) -> DataFrame:
+    """A report row for each (child, fk, parent, pk, child's name)."""
+    out = None
+    for t in tests:
+        one = relationship_failures(*t)
+        out = one if out is None else out.unionByName(one)
+    return out.select(*REPORT_COLUMNS)
+
+
+def _digest(columns: list[str]) -> tuple:
+    """Two 32-bit numbers from an MD5 over the row's values, NULL as '~'."""
+    h = F.md5(F.concat_ws("|", *[F.coalesce(_q(c).cast("string"), F.lit("~")) for c in columns]))
+    return tuple(F.conv(F.substring(h, at, 8), 16, 10).cast("long") for at in (1, 9))
+
+
+def integrity_by_group(source: DataFrame, target: DataFrame, groups: list[str], columns: list[str],
+                       names: tuple[str, str] = ("source", "target")) -> DataFrame:
+    """One row a group: both sides' row counts, their difference, and whether both
+    hold the same rows the same number of times.
+
+    A side's digest is the sum of its rows' digests, which no order changes, and
+    which a lost, doubled or altered row does change even where the counts agree.  Both
+    sides go through one aggregation over their union, with partial sums before the
+    shuffle; groups may be NULL."""
+    def side(df: DataFrame, which: int) -> DataFrame:
+        a, b = _digest(columns)
+        return df.select(*[_q(g) for g in groups], F.lit(which).alias("_side"), a.alias("_a"), b.alias("_b"))
+
+    both = side(source, 0).unionByName(side(target, 1))
+    sign = F.when(F.col("_side") == 0, 1).otherwise(-1)
+    s, t = (f"{n}_rows" for n in names)
+    out = both.groupBy(*[_q(g) for g in groups]).agg(
+        F.count_if(F.col("_side") == 0).alias(s), F.count_if(F.col("_side") == 1).alias(t),
+        F.sum(F.col("_a") * sign).alias("_a"), F.sum(F.col("_b") * sign).alias("_b"))
+    return out.select(*[_q(g) for g in groups], s, t, (F.col(s) - F.col(t)).alias("difference"),
+                      ((F.col(s) == F.col(t)) & (F.col("_a") == 0) & (F.col("_b") == 0)).alias("same_rows"))

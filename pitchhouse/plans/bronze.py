@@ -1,7 +1,7 @@
 """Bronze-layer frames: load report, column completeness, sample rows, and
 the schema-evolution slices derived from the driver tables.
 
-``evolving_source`` renders the bridge's silver rows as two generations of
+``evolving_source`` cuts the bridge's source rows into two generations of
 source files: seasons before ``NEW_LAYOUT_FROM`` lack the kick-off time and
 carry an over/under odds column; later seasons have the time, put away goals
 before home goals and carry a different odds column.  Merging the two by name
@@ -17,7 +17,6 @@ from pitchhouse.functions.calendar import parse_date
 from pitchhouse.functions.parity import asc
 from pitchhouse.functions.season import season_from_filename
 from pitchhouse.operators.joins import ordered
-from pitchhouse.sources.bridge import source_rows
 
 # Fixed parameters of the derived two-generation source layout.
 NEW_LAYOUT_FROM = 1998
@@ -25,23 +24,30 @@ OLD_ONLY, NEW_ONLY, DROPPED_IN_OLD = "BbMx>2.5", "BWH", "Time"
 SAMPLE_COLUMNS = ["season", "Date", "HomeTeam", "AwayTeam", "FTHG", "FTAG", "FTR"]
 
 
+GENERATION = "_generation"
+
+
 def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def evolving_source(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
-    src = source_rows(silver)
+def with_generation(src: DataFrame) -> DataFrame:
+    """Source rows with the generation of file they stand in; a match without a
+    season counts as old, so every row is in one."""
     start = F.left(F.col("season"), F.lit(4)).cast("int")
-    cols = [c for c in src.columns]
+    return src.withColumn(GENERATION, F.when(start >= NEW_LAYOUT_FROM, "new").otherwise("old"))
+
+
+def evolving_source(src: DataFrame) -> tuple[DataFrame, DataFrame]:
+    cols = [c for c in src.columns if c != GENERATION]
     old_cols = [c for c in cols if c != DROPPED_IN_OLD]
-    # a match without a season counts as old: every row is in one generation
-    old = src.where(start.isNull() | (start < NEW_LAYOUT_FROM)).select(
+    old = src.where(F.col(GENERATION) == "old").select(
         *[_q(c) for c in old_cols],
         (F.col("HS").cast("int") + F.col("AS").cast("int")).cast("string").alias(OLD_ONLY))
     new_cols = list(cols)
     i, j = new_cols.index("FTHG"), new_cols.index("FTAG")
     new_cols[i], new_cols[j] = new_cols[j], new_cols[i]
-    new = src.where(start >= NEW_LAYOUT_FROM).select(
+    new = src.where(F.col(GENERATION) == "new").select(
         *[_q(c) for c in new_cols], F.col("HC").alias(NEW_ONLY))
     return old, new
 
@@ -53,9 +59,9 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def bronze_from_tables(silver: DataFrame) -> DataFrame:
+def bronze_from_source(src: DataFrame) -> DataFrame:
     """Both source generations merged by column name (missing → NULL)."""
-    return union_by_name(list(evolving_source(silver)))
+    return union_by_name(list(evolving_source(src)))
 
 
 def season_from_file(bronze: DataFrame) -> DataFrame:
@@ -94,12 +100,15 @@ def sample_rows(bronze: DataFrame, n: int = 5) -> DataFrame:
         *[k.asc_nulls_last() for k in keys]).limit(n)
 
 
-def write_source_files(silver: DataFrame, root: str) -> str:
+def write_source_files(src: DataFrame, root: str, odd: bool = False) -> str:
     """Write both source generations as CSV files with header lines, one
     folder per source file (``<root>/<gen>/_source_file=LaLiga YY-YY.csv/``),
     and return the glob that matches them.  The season is not written: the
-    loader derives it from the file name, as for the reference's files."""
-    for gen, frame in zip(("old", "new"), evolving_source(silver)):
-        (frame.drop("season").write.mode("overwrite").option("header", True)
+    loader derives it from the file name, as for the reference's files.  ``odd``
+    gives the later files a last column without a name, whose values span lines."""
+    for gen, frame in zip(("old", "new"), evolving_source(src)):
+        if odd and gen == "new":
+            frame = frame.withColumn("", F.concat("HomeTeam", F.lit(' "at"\n'), "AwayTeam"))
+        (frame.drop("season").write.mode("overwrite").option("header", True).option("escape", '"')
          .partitionBy("_source_file").csv(f"{root}/{gen}"))
     return f"{root}/*/*/*.csv"

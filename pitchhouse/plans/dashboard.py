@@ -71,10 +71,15 @@ def _seasons(g: Gold, season: str | None) -> DataFrame:
     return bounded_broadcast(ds, g.season_rows)
 
 
+def _team_id(g: Gold, name: str):
+    """The team's id as a one-row subquery."""
+    return g.dim_team.where(F.col("team_name") == F.lit(name)).select("team_id").scalar()
+
+
 def _matches_of(g: Gold, team: str) -> DataFrame:
     """The fact rows in which ``team`` plays, filtered at the scan (before any
     unpivot) by the id that a one-row subquery looks up."""
-    tid = g.dim_team.where(F.col("team_name") == F.lit(team)).select("team_id").scalar()
+    tid = _team_id(g, team)
     return g.fact.where((F.col("team_id_home") == tid) | (F.col("team_id_away") == tid))
 
 
@@ -154,25 +159,19 @@ def head_to_head(g: Gold, team_a: str, team_b: str, season: str | None = None,
     ``(A home AND B away) OR (B home AND A away) AND season = s``, where the
     season filter binds to the second pairing only.
     """
-    pair = g.dim_team.where(F.col("team_name").isin(team_a, team_b)).select("team_id", "team_name")
-    pair = bounded_broadcast(pair, g.team_rows)
-    home = pair.select(F.col("team_id").alias("team_id_home"), F.col("team_name").alias("home_team"))
-    away = pair.select(F.col("team_id").alias("team_id_away"), F.col("team_name").alias("away_team"))
-    ds = bounded_broadcast(g.dim_season.select("season_id", F.col("season_label").alias("season")),
-                           g.season_rows)
-    days = g.dim_date.select("date_id", F.col("full_date").alias("date"))
-    rows = (g.fact.join(home, "team_id_home").join(away, "team_id_away")
-            .join(ds, "season_id").join(days, "date_id"))
-    h, a = F.col("home_team"), F.col("away_team")
-    ab = (h == F.lit(team_a)) & (a == F.lit(team_b))
-    ba = (h == F.lit(team_b)) & (a == F.lit(team_a))
-    if season is None:
-        cond = ab | ba
-    elif as_written:
-        cond = ab | (ba & (F.col("season") == F.lit(season)))
-    else:
-        cond = (ab | ba) & (F.col("season") == F.lit(season))
-    return rows.where(cond).select(*H2H_COLUMNS).orderBy(*asc("date"))
+    a, b = _team_id(g, team_a), _team_id(g, team_b)
+    h, w = F.col("team_id_home"), F.col("team_id_away")
+    ab, ba = (h == a) & (w == b), (h == b) & (w == a)
+    # the ids of one-row subqueries filter at the scan; names and dates join the few rows left
+    met = g.fact.where(ab | ba).withColumn("_hosted", h == a)
+    rows = (met.join(_seasons(g, None if as_written else season), "season_id")
+            .join(g.dim_date.select("date_id", F.col("full_date").alias("date")), "date_id"))
+    if as_written and season is not None:
+        rows = rows.where(F.col("_hosted") | (F.col("season") == F.lit(season)))
+    names = [F.when(F.col("_hosted"), F.lit(x)).otherwise(F.lit(y)).alias(c)
+             for x, y, c in ((team_a, team_b, "home_team"), (team_b, team_a, "away_team"))]
+    return rows.select(*[c for c in rows.columns if c not in ("home_team", "away_team")], *names).select(
+        *H2H_COLUMNS).orderBy(*asc("date"))
 
 
 def _meetings(g: Gold, team_a: str, team_b: str, season: str | None = None,

@@ -6,7 +6,7 @@ declared for the reference's gold models.
 
 from __future__ import annotations
 
-from pitchhouse.operators.quality import TableTests, run_tests
+from pitchhouse.operators.quality import TableTests, relationships, run_tests
 from pitchhouse.plans.warehouse import Gold
 
 RESULT_CODES = ["H", "A", "D"]
@@ -39,3 +39,13 @@ def dirty_fact(fact):
     bad = fact.where(F.col("result") == "D").withColumn("result", F.lit("X")) \
         .withColumn("home_goals", F.lit(None).cast("int"))
     return fact.unionByName(bad)
+
+
+def relationship_report(g: Gold, season=None, team=None):
+    """The fact's four foreign keys against their dimensions (``season``, ``team``:
+    other parents, for inputs on which the tests fail)."""
+    season, team = season or g.dim_season, team or g.dim_team
+    return relationships([(g.fact, "season_id", season, "season_id", "fact_matches"),
+                          (g.fact, "team_id_home", team, "team_id", "fact_matches"),
+                          (g.fact, "team_id_away", team, "team_id", "fact_matches"),
+                          (g.fact, "date_id", g.dim_date, "date_id", "fact_matches")])

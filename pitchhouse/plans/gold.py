@@ -7,11 +7,12 @@ most one row per distinct value per task, whatever the fact size or skew.
 
 The fact joins its dimensions on natural keys (inner joins, as the reference:
 rows with an unmatched or NULL key drop) and is numbered with ``dense_ids`` in
-``(match_date, home_team)`` order, extended by every other silver column so
-the numbering is total (rows tying on all of them are identical).  The order
-is applied to the fact's own keys: ``date_id`` is monotone in the date and
-``team_id``/``season_id`` are assigned in name order, so ordering by them is
-ordering by the names — and the range shuffle carries integers, not text.
+``(match_date, home_team)`` order.  Inside such a group the order is that of an MD5
+over the fact's other columns, so the numbering is total (rows tying on it are
+identical) and its sort key has three columns and the row identity, however many
+measures there are.  The order is applied to the fact's own keys: ``date_id`` is
+monotone in the date and ``team_id`` is assigned in name order.  ``match_id`` is
+stored with the row.
 """
 
 from __future__ import annotations
@@ -26,10 +27,8 @@ from pitchhouse.functions.season import (season_end_year, season_start_year,
                                          season_start_year_as_written)
 from pitchhouse.operators.joins import bounded_broadcast
 from pitchhouse.operators.keys import dense_ids, materialize, surrogate_ids
-from pitchhouse.plans.silver import SILVER_COLUMNS
 
-FACT_ORDER = ["match_date", "home_team"] + [c for c in SILVER_COLUMNS
-                                            if c not in ("match_date", "home_team")]
+# The fact's measures and codes.
 FACT_MEASURES = [
     "home_goals", "away_goals", "result", "home_goals_ht", "away_goals_ht", "result_ht",
     "home_shots", "away_shots", "home_shots_on_target", "away_shots_on_target",
@@ -37,10 +36,10 @@ FACT_MEASURES = [
     "home_yellow_cards", "away_yellow_cards", "home_red_cards", "away_red_cards",
 ]
 FACT_COLUMNS = ["match_id", "season_id", "team_id_home", "team_id_away", "date_id", *FACT_MEASURES]
-# FACT_ORDER with each natural key replaced by its order-preserving surrogate
-_KEY_FOR = {"match_date": "date_id", "home_team": "team_id_home", "season": "season_id",
-            "away_team": "team_id_away"}
-FACT_KEY_ORDER = [_KEY_FOR.get(c, c) for c in FACT_ORDER]
+_REST = "_ph_rest"
+FACT_KEY_ORDER = ["date_id", "team_id_home", _REST]
+# what the digest inside a (date, home team) group covers, NULL as '~'
+REST_COLUMNS = ["season_id", "team_id_away", *FACT_MEASURES]
 
 
 @dataclass
@@ -145,9 +144,10 @@ def fact_matches(silver: DataFrame, season: DataFrame, team: DataFrame,
                                          F.col("team_name").alias("home_team")), team_rows)
     away = bounded_broadcast(team.select(F.col("team_id").alias("team_id_away"),
                                          F.col("team_name").alias("away_team")), team_rows)
+    rest = F.unhex(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in REST_COLUMNS])))
     joined = (silver.join(ds, "season").join(home, "home_team").join(away, "away_team")
               .select(*FACT_COLUMNS[1:4], date_key("match_date").alias("date_id"),
-                      "match_time", *FACT_MEASURES, *([row_id] if row_id else [])))
+                      rest.alias(_REST), *FACT_MEASURES, *([row_id] if row_id else [])))
     numbered = dense_ids(joined, order or FACT_KEY_ORDER, "match_id", keep=FACT_COLUMNS[1:],
                          partition_by=list(partition_by) if partition_by else None,
                          name="fact_matches", tiebreak=row_id, rows=silver_rows)

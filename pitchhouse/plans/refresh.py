@@ -7,7 +7,8 @@
    ``gold.fact_matches`` (the fact partitioned by ``season_id``);
 4. run the 13 declared data tests.
 
-Every step replaces its output, so running it twice gives the same tables.
+Every step replaces its output, so running it twice gives the same tables; a table
+is swapped whole, so readers see the rows of one run.  The views are persistent.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from pitchhouse.plans import data_tests
-from pitchhouse.plans.silver import bronze_view, silver_view
+from pitchhouse.plans.silver import bronze_view_sql, silver_view_sql
 from pitchhouse.plans.warehouse import Gold, build_gold
 from pitchhouse.sources.csv_bronze import land_csv
 from pitchhouse.sources.layers import create_view, write_table
@@ -31,10 +32,8 @@ class Refresh:
 
 def full_refresh(spark: SparkSession, csv_pattern: str, source_name: str = "file") -> Refresh:
     raw = write_table(land_csv(spark, csv_pattern, source_name), name="bronze.matches_raw")
-    bronze = bronze_view(raw)
-    create_view(spark, bronze, "bronze.bronze_matches")
-    silver = silver_view(bronze)
-    create_view(spark, silver, "silver.silver_matches")
+    create_view(spark, bronze_view_sql(raw.columns, "bronze.matches_raw"), "bronze.bronze_matches")
+    silver = create_view(spark, silver_view_sql("bronze.bronze_matches"), "silver.silver_matches")
     built = build_gold(silver)
     gold = Gold(
         dim_season=write_table(built.dim_season, name="gold.dim_season"),

@@ -7,7 +7,9 @@ Parquet under the session's checkpoint folder (the fact partitioned by
 by dynamic partition pruning) and read back, so every analytic query starts
 from stored tables exactly as the reference's queries do.
 
-``warehouse(spark, sf_dir)`` memoises one build per (application, source dir).
+``warehouse(spark, sf_dir)`` memoises one build per (application, source dir).  It
+stores the driver tables' source rows as text first; bronze is read from those,
+silver from bronze, and gold from silver, so a row lost on the way shows.
 """
 
 from __future__ import annotations
@@ -33,15 +35,22 @@ class Gold:
     team_rows: int
     date_rows: int
     silver: DataFrame | None = None  # the stored silver rows the build read
+    source: DataFrame | None = None  # the stored source rows, all text
+    bronze: DataFrame | None = None  # both generations of them, merged by name
+
+
+#: A unique stored column of the rows that gold is built from.
+ROW_ID = "_row"
 
 
 def build_gold(silver: DataFrame, name: str = "gold") -> Gold:
     spark = silver.sparkSession
     root = work_dir(spark, name)
-    # silver is read twice (dimension values: four columns; fact: all), so it
-    # is stored once instead of recomputed or cached in executor memory; the
-    # stored row identity ends the fact's numbering order
-    silver = materialize(silver, "silver", row_id="_row")
+    # silver is read twice (dimension values: four columns; fact: all): unless it
+    # is a view over stored rows that brings their identity along, it is stored
+    # once.  That identity ends the fact's numbering order
+    if ROW_ID not in silver.columns:
+        silver = materialize(silver, "silver", row_id=ROW_ID)
     silver_rows = silver.count()  # Parquet footers only; sizes the fact's numbering
     dims = G.build_dimensions(silver)
     season = write_table(dims.season, path=f"{root}/dim_season")
@@ -59,10 +68,18 @@ _BUILDS: dict[tuple[str, str], Gold] = {}
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Gold:
     """The gold layer built from the driver tables in ``sf_dir`` (memoised)."""
-    from pitchhouse.sources.bridge import silver_from_tables
+    from pitchhouse.plans.bronze import bronze_from_source, with_generation
+    from pitchhouse.plans.silver import bronze_view, silver_view
+    from pitchhouse.sources.bridge import silver_from_tables, source_rows
 
     key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         if key not in _BUILDS:
-            _BUILDS[key] = build_gold(silver_from_tables(spark, sf_dir))
+            source = materialize(with_generation(source_rows(silver_from_tables(spark, sf_dir))), "source-rows",
+                                 row_id=ROW_ID, codec="snappy")
+            keep = (ROW_ID,)
+            built = build_gold(silver_view(bronze_view(bronze_from_source(source), keep), keep=keep))
+            built.source = source.drop(ROW_ID)
+            built.bronze = bronze_from_source(built.source)
+            _BUILDS[key] = built
         return _BUILDS[key]

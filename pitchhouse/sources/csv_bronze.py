@@ -109,19 +109,25 @@ def csv_headers(spark: SparkSession, pattern: str, sep: str = ",", recursive: bo
     return materialize(texts.mapInArrow(parse, "path string, names array<string>, spans boolean"), "csv-headers")
 
 
-def _source_name(source_name: str) -> Column:
+def _source_name(source_name: str, path: Column) -> Column:
     if source_name == "file":
-        return F.url_decode(F.col("_metadata.file_name"))
+        return F.url_decode(F.element_at(F.split(path, "/"), -1))
     if source_name == "directory":
         # files written by a partitioned writer: <dir>/<key=value>/part-*.csv;
         # the logical source file is the partition value
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+        folder = F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)
         value = F.regexp_replace(folder, r"^[^=]*=", "")
         # the partitioned writer's folder for NULL: rows without a file name
         return F.when(value != "__HIVE_DEFAULT_PARTITION__", F.url_decode(value))
     raise ValueError(f"source_name must be 'file' or 'directory', not {source_name!r}")
 
 
+def columns_of_files(heads: DataFrame, source_name: str = "file") -> DataFrame:
+    """(file, column) of ``csv_headers``: which source file has which column, in lower case."""
+    return heads.select(_source_name(source_name, F.col("path")).alias("file"), F.explode("names").alias("column")).select(
+        "file", F.lower("column").alias("column")).distinct()
+
+
 def land_csv(spark: SparkSession, pattern: str, source_name: str = "file", sep: str = ",",
              recursive: bool = False) -> DataFrame:
     """Read all files matching ``pattern`` into one all-text DataFrame.
@@ -146,7 +152,7 @@ def land_csv(spark: SparkSession, pattern: str, source_name: str = "file", sep:
     places = heads.select("path", F.size("names").alias("n"),
                           F.array(*[F.array_position(lower, c.lower()).cast("int") for c in columns]).alias("places"))
     by_place = ", ".join(f"f{i} string" for i in range(one["width"] + 1))  # one more: fields beyond the widest header
-    name = _source_name(source_name)
+    name = _source_name(source_name, F.col("_metadata.file_path"))
     records = (_reader(spark, recursive).schema(by_place).option("header", True).option("enforceSchema", True)
                .option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", bool(one["spans"])).csv(pattern)
                .select(F.array(*[f"f{i}" for i in range(one["width"] + 1)]).alias("fields"),

@@ -58,9 +58,8 @@ def reads(v: Column, kind: str) -> Column:
     return v.rlike(_TIME)
 
 
-def _bits(c: str) -> Column:
-    """The kinds that read a value; NULL for none, as no value takes part."""
-    v = F.trim(F.col(f"`{c}`"))
+def _bits(v: Column) -> Column:
+    """The kinds that read a trimmed value; NULL for an empty one, which takes no part."""
     found = [F.when(reads(v, k), 1 << i).otherwise(0) for i, k in enumerate(KINDS)]
     total = found[0]
     for f in found[1:]:
@@ -72,21 +71,26 @@ def data_columns(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c not in LINEAGE]
 
 
-def file_types(raw: DataFrame, file_col: str = "_source_file") -> DataFrame:
-    """(file, column, kind): one row for every column of every source file."""
-    columns = data_columns(raw)
-    one = raw.groupBy(F.col(file_col).alias("file")).agg(*[F.bit_and(_bits(c)).alias(f"b{i}") for i, c in enumerate(columns)])
-    long = one.select("file", F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"b{i}").alias("bits"))
-                                                 for i, c in enumerate(columns)])))
+def file_types(raw: DataFrame, present: DataFrame | None = None, file_col: str = "_source_file") -> DataFrame:
+    """(file, column, kind): one row for every column of every source file.
+    ``present``: the (file, column) pairs that exist, in lower case; without it each
+    file has every column."""
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.trim(F.col(f"`{c}`")).alias("v")) for c in data_columns(raw)])
+    # one value a row: one expression is compiled however many columns there are
+    long = (raw.select(F.col(file_col).alias("file"), F.inline(values))
+            .groupBy("file", "column").agg(F.bit_and(_bits(F.col("v"))).alias("bits")))
     kind = F.lit("text")
     for i, k in reversed(list(enumerate(KINDS))):
         kind = F.when(F.col("bits").bitwiseAND(F.lit(1 << i)) != 0, k).otherwise(kind)
-    return long.select("file", "column", kind.alias("kind"))
+    kinds = long.select("file", "column", kind.alias("kind"))
+    if present is not None:
+        had = present.select(F.col("file").alias("_f"), F.col("column").alias("_c"))
+        kinds = kinds.join(had, F.col("file").eqNullSafe(F.col("_f")) & (F.lower("column") == F.col("_c")), "left_semi")
+    return kinds
 
 
 def joined_types(kinds: DataFrame) -> DataFrame:
-    """(column, type): the least type above those of all files.  A column that a
-    file lacks is text there, like one without a value."""
+    """(column, type): the least type above those of all files."""
     types = F.col("kind")
     for k in DAY_FORMATS:
         types = F.when(F.col("kind") == k, "date").otherwise(types)
@@ -101,15 +105,10 @@ def joined_types(kinds: DataFrame) -> DataFrame:
     return sets.select("column", F.coalesce(one, F.lit("text")).alias("type"))
 
 
-def typed(raw: DataFrame, file_col: str = "_source_file", present: DataFrame | None = None) -> DataFrame:
-    """``raw`` with every data column cast to its inferred type.
-
-    ``present``: (file, column) pairs that exist; without it each file has every
-    column.  The types (a row a column) reach the driver: they are the schema."""
-    kinds = file_types(raw, file_col)
-    if present is not None:
-        kinds = kinds.join(present, ["file", "column"], "left_semi")
-    kinds = materialize(kinds, "file-types")
+def typed(raw: DataFrame, present: DataFrame | None = None, file_col: str = "_source_file") -> DataFrame:
+    """``raw`` with every data column cast to its inferred type (``present`` as in
+    ``file_types``).  The types, a row a column, reach the driver: they are the schema."""
+    kinds = materialize(file_types(raw, present, file_col), "file-types")
     types = {r["column"]: r["type"] for r in joined_types(kinds).collect()}
     days = [c for c, t in types.items() if t in TIMES]
     formats = F.map_from_entries(F.collect_list(F.struct("column", "kind")))
