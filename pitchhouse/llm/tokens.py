@@ -1,7 +1,7 @@
 """Operator 4, token counts by overlap resynchronisation, and the piece-wise
 encoder that operator 8 shares.
 
-A text up to ``chunk`` characters is one chunk.  A longer text is encoded in
+A text up to ``chunk`` characters is one chunk and is encoded whole.  A longer text is encoded in
 overlapping chunks with offsets; neighbours are spliced at a boundary that both
 show and that is proven stable, and where none is found the overlap (then the
 chunk) is widened.
@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from pitchhouse.llm.common import slices, with_package
 CHUNK, OVERLAP, MARGIN = 16_384, 512, 64
 #: Pieces that an encoder keeps from one slice to the next.
 CACHE = 500_000
+#: Pieces joined to one string, pieces and whole texts given to the library at a time.
+JOINED, BATCH_PIECES, BATCH_TEXTS = 256, 1 << 14, 64
 
 _loaded: dict = {}
 
@@ -55,54 +58,96 @@ def library_path(name: str) -> str:
 
 
 class PieceEncoder:
-    """Ids of many pieces; each distinct piece is encoded by the library once,
-    as long as it is kept.  ``prefix`` stands before every piece."""
-
-    def __init__(self, path: str, prefix: str = ""):
-        self.tok, self.prefix = tokenizer(path), prefix
-        self.reset()
-
-    def reset(self) -> None:
+    """Ids of many pieces; the library encodes each distinct piece once, as long as
+    it is kept.
+
+    Many pieces are encoded as one string, with a special token of the vocabulary
+    between them: it is cut out before the text is normalised and split, so its id
+    shows where one piece ends.  A piece that holds a character with which a special
+    token starts is encoded by itself."""
+
+    def __init__(self, path: str, keep: int = CACHE):
+        self.tok, self.keep = tokenizer(path), keep
+        special = {i: t.content for i, t in self.tok.get_added_tokens_decoder().items()
+                   if t.special and not (t.lstrip or t.rstrip or t.single_word)}
+        self.between, self.mark = next(iter(sorted(special.items())), (None, None))
+        starts = {t.content[:1] for t in self.tok.get_added_tokens_decoder().values()}
+        self.alone = re.compile("[" + re.escape("".join(sorted(starts))) + "]") if starts else None
         self.code: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)  # the ids of all pieces, one after the other
-        self.n = np.zeros(0, np.int64)  # how many each has
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0  # the ids of all pieces, one after the other
+        self.first, self.n, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))  # their place, number, uses
 
     def codes(self, pieces: list[str]) -> np.ndarray:
-        """A code for each piece, valid until the next ``reset``."""
-        out = list(map(self.code.get, pieces))
-        if None in out:
-            new = list({p: None for p, c in zip(pieces, out) if c is None})
-            self.code.update(zip(new, range(len(self.n), len(self.n) + len(new))))
-            for i in range(0, len(new), 4096):
-                ids = [e.ids for e in self.tok.encode_batch([self.prefix + p for p in new[i:i + 4096]],
-                                                            add_special_tokens=False)]
-                self.n = np.concatenate([self.n, np.array([len(x) for x in ids], np.int64)])
-                self.flat = np.concatenate([self.flat, np.array([y for x in ids for y in x], np.uint32)])
-            out = list(map(self.code.__getitem__, pieces))
-        return np.array(out, np.int64)
-
-    def trim(self) -> None:
-        """Between slices: forget everything once too much is kept."""
-        if len(self.n) > CACHE or len(self.flat) > 8 * CACHE:
-            self.reset()
-
-
-_ODD_SPACE = re.compile(r"\s | \s|^ | $")
-_SAFE = re.compile(r"(?<=\S)(?= \S)")
-
-
-def space_pieces(text: str) -> list[str]:
-    """Pieces of ``text`` whose encodings, put together, are its encoding: cuts
-    stand only before a single space between two other characters, where every
-    pre-token ends."""
-    return _SAFE.split(text)
+        """A code for each piece, valid until the next ``trim``."""
+        out = np.array(list(map(self.code.get, pieces, repeat(-1))), np.int64)
+        unknown = np.flatnonzero(out < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys(pieces[i] for i in unknown)))
+            out[unknown] = [self.code[pieces[i]] for i in unknown]
+        if len(out):
+            self.seen[:len(self.code)] += np.bincount(out, minlength=len(self.code))
+        return out
 
+    def _learn(self, new: list[str]) -> None:
+        joined = [p for p in new if self.mark and not (self.alone and self.alone.search(p))]
+        rest = [p for p in new if not self.mark or (self.alone and self.alone.search(p))]
+        for i in range(0, len(joined), BATCH_PIECES):
+            part = joined[i:i + BATCH_PIECES]
+            texts = [self.mark.join(part[k:k + JOINED]) for k in range(0, len(part), JOINED)]
+            ids = np.fromiter(chain.from_iterable(
+                chain(e.ids, (self.between,)) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)), np.uint32)
+            ends = np.flatnonzero(ids == self.between)
+            if len(ends) != len(part):
+                raise ValueError("the special token does not separate pieces in this vocabulary")
+            self._put(part, ids[ids != self.between], ends - np.arange(len(ends)))
+        for i in range(0, len(rest), BATCH_PIECES):
+            part = rest[i:i + BATCH_PIECES]
+            ids = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            self._put(part, np.fromiter(chain.from_iterable(ids), np.uint32), np.cumsum([len(x) for x in ids]))
+
+    def _put(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        at, more = len(self.code), len(pieces)
+        self.code.update(zip(pieces, range(at, at + more)))
+        self.flat = _room(self.flat, self.used + len(ids))
+        self.first, self.n, self.seen = (_room(x, at + more) for x in (self.first, self.n, self.seen))
+        begins = np.append(0, ends[:-1])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.first[at:at + more], self.n[at:at + more] = self.used + begins, ends - begins
+        self.seen[at:at + more] = 0
+        self.used += len(ids)
 
-def encoder_of(path: str, prefix: str = "") -> PieceEncoder:
+    def trim(self) -> None:
+        """Between slices: once too much is kept, forget the pieces that were used
+        least, and at least half of all."""
+        n = len(self.code)
+        if n <= self.keep and self.used <= 8 * self.keep:
+            return
+        floor = max(2, int(np.partition(self.seen[:n], n // 2)[n // 2]) + 1)
+        stay = self.seen[:n] >= floor
+        pieces = [p for p, k in zip(self.code, stay.tolist()) if k]
+        first, size = self.first[:n][stay], self.n[:n][stay]
+        run = np.cumsum(size) - size
+        ids = self.flat[np.repeat(first - run, size) + np.arange(int(size.sum()))]
+        self.code, self.used = {}, 0
+        self.flat = np.zeros(1 << 16, np.uint32)
+        if pieces:
+            self._put(pieces, ids, np.cumsum(size))
+
+
+def _room(x: np.ndarray, need: int) -> np.ndarray:
+    """``x`` with room for ``need`` values, doubled as often as that takes."""
+    if need <= len(x):
+        return x
+    out = np.zeros(max(need, 2 * len(x)), x.dtype)
+    out[:len(x)] = x
+    return out
+
+
+def encoder_of(path: str) -> PieceEncoder:
     """The encoder of this Python process, with the pieces of earlier tasks."""
-    key = (path, prefix)
+    key = (path, "pieces")
     if key not in _loaded:
-        _loaded[key] = PieceEncoder(path, prefix)
+        _loaded[key] = PieceEncoder(path)
     _loaded[key].trim()
     return _loaded[key]
 
@@ -112,35 +157,17 @@ class Counter:
 
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         self.tok, self.chunk, self.overlap = tokenizer(path), chunk, overlap
-        self.inner, self.first = encoder_of(path, " "), encoder_of(path)
 
     def counts(self, texts: list[str]) -> np.ndarray:
-        """Short texts by pieces, all at once; huge ones chunk by chunk."""
+        """Short texts whole, many at once; huge ones chunk by chunk."""
         out = np.zeros(len(texts), np.int64)
-        heads, rest, owner = [], [], []
+        short = [i for i, t in enumerate(texts) if len(t) <= self.chunk]
+        for k in range(0, len(short), BATCH_TEXTS):
+            part = short[k:k + BATCH_TEXTS]
+            out[part] = [len(e) for e in self.tok.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)]
         for i, t in enumerate(texts):
             if len(t) > self.chunk:
                 out[i] = resync_count(t, self.encode, self.chunk, self.overlap)
-            elif _ODD_SPACE.search(t):
-                parts = space_pieces(t)
-                heads.append((i, parts[0]))
-                rest += [p[1:] for p in parts[1:]]
-                owner.append((i, len(parts) - 1))
-            else:
-                parts = t.split(" ")
-                heads.append((i, parts[0]))
-                rest += parts[1:]
-                owner.append((i, len(parts) - 1))
-        if heads:
-            at = np.array([i for i, _ in heads])
-            codes = self.first.codes([p for _, p in heads])
-            out[at] += self.first.n[codes]
-            if rest:
-                codes = self.inner.codes(rest)
-                who = np.repeat([i for i, _ in owner], [n for _, n in owner])
-                out += np.bincount(who, self.inner.n[codes], len(texts)).astype(np.int64)
-            self.first.trim()
-            self.inner.trim()
         return out
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

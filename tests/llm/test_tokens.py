@@ -83,6 +83,23 @@ def test_ids_of_odd_texts():
         assert flat[a:b].tolist() == library(WORDS, t) + [1], repr(t)
 
 
+def test_joined_pieces_and_trimming():
+    """Pieces joined by a special token, those that hold one, and an encoder that
+    forgets: always the library's ids."""
+    rng = random.Random(4)
+    encoder = tokens.PieceEncoder(WORDS, keep=40)
+    alphabet = ["a", "B", "é", "́", "ß", "漢", "1", "'s", "!", "<", "<|", "|>", "startoftext", "<|startoftext|>", "<|endoftext|>", "　", "😀"]
+    for _ in range(60):
+        texts = [" ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 30)))
+                 for _ in range(4)]
+        counts, flat = simple8b._ids_of(encoder, texts, 1)
+        ends = np.cumsum(counts)
+        for t, a, b in zip(texts, ends - counts, ends):
+            assert flat[a:b].tolist() == library(WORDS, t) + [1], repr(t)
+        encoder.trim()
+        assert len(encoder.code) <= 40
+
+
 def test_token_files(docs, texts, nothing):
     start = 0
     got = sorted(simple8b.token_files(docs, WORDS).collect(), key=lambda r: r.doc_id)
