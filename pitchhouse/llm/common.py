@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
@@ -40,6 +40,19 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, ascii_uppercase, ascii_lowercase)
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Whole rows as one column ``row``, and the keys beside it: a column of ``docs``
+    may have any name.  ``select("row.*")`` gives the rows back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in keys.items()])
+
+
+def filtered(docs: DataFrame, run: Callable) -> DataFrame:
+    """``docs.mapInArrow`` that keeps or drops whole rows; columns have plain names
+    inside, because that call cannot take a name with a dot."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int,
            limit: int = SLICE_BYTES) -> Iterator[tuple[list, list[str], pa.RecordBatch]]:
     """(ids, texts, rows) in pieces of about ``limit`` bytes of text; column 0 is

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchhouse.llm.common import slices, stored, with_package
+from pitchhouse.llm.common import filtered, packed, slices, stored, with_package
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
@@ -333,21 +333,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
                          for s in contaminated(texts, sent.value, longest)[1]]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        return docs.mapInArrow(run, docs.schema)
+        return filtered(docs, run)
 
     text = F.col(f"`{text_col}`")
+    rows = packed(docs, tie=_tie(text))
     keyed = docs.select(_tie(text).alias("tie"), text.alias("text"))
 
     def search(sent, longest: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, texts, part in slices(batches, 1):
                 hit = [bool(s) for s in contaminated(texts, sent.value, longest)[1]]
-                yield pa.record_batch([part.column(0).filter(pa.array(hit, pa.bool_()))], names=["_gone"])
+                yield pa.record_batch([part.column(0).filter(pa.array(hit, pa.bool_()))], names=["tie"])
 
-        return keyed.mapInArrow(run, "_gone string")
+        return keyed.mapInArrow(run, "tie string")
 
     gone = reduce(DataFrame.union, _searched(blocks, groups, longest, search)).distinct()
-    return docs.join(gone, _tie(text) == F.col("_gone"), "left_anti")
+    return rows.join(gone, "tie", "left_anti").select("row.*")
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

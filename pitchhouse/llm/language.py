@@ -38,8 +38,8 @@ from pitchhouse.llm.common import slices, stored, with_package
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 24
 PER_LANGUAGE, PER_DOCUMENT = 400, 6
-#: Windows that the network takes at a time.
-BATCH = 2048
+#: Windows that the network takes at a time; parts of a language's documents in which candidates are sought.
+BATCH, PARTS = 2048, 32
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, np.float32)
@@ -176,10 +176,14 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, per_document: int =
     known = (docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & F.col(id_col).isNotNull() & ~held_out(doc_id)
                         & text.rlike(r"\p{L}"))
              .select(doc_id.alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), text.alias("text")))
-    # a limit inside each language is kept by every task before its rows are shuffled
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "tie")
-    chosen = stored(known.select("doc_id", "lang", F.md5("text").alias("tie")).distinct()
-                    .withColumn("n", F.row_number().over(turn)).where(F.col("n") <= per_language).drop("n"), "language-sample")
+    # the first by digest: of each of many parts of a language, and then of the language,
+    # so that no task sorts more than a bounded number of one language's rows
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("tie")]
+    some = known.select("doc_id", "lang", F.md5("text").alias("tie")).distinct().withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        turn = Window.partitionBy(*keys).orderBy(*order)
+        some = some.withColumn("n", F.row_number().over(turn)).where(F.col("n") <= per_language)
+    chosen = stored(some.select("doc_id", "lang", "tie"), "language-sample")
     # the broadcast has per_language rows of each language at most
     texts = known.withColumn("tie", F.md5("text")).join(F.broadcast(chosen), ["doc_id", "lang", "tie"])
 

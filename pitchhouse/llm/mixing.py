@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchhouse.llm.common import SPACE_WORD, stored
+from pitchhouse.llm.common import SPACE_WORD, packed, stored
 
 #: Fixed values of the mix: weights by place of the source, share of all sizes, most copies.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -34,8 +34,8 @@ SEED = "mix"
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, tie): the words of each whole text."""
-    text = F.col(text_col)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
                        F.coalesce(F.regexp_count(text, F.lit(SPACE_WORD)), F.lit(0)).cast("long").alias("size"),
                        F.md5(F.coalesce(text, F.lit(""))).alias("tie"))
 
@@ -109,16 +109,16 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most:
     apart by id, source and a digest of the text; of equal rows, each is emitted
     as often as their places are crossed on the whole, spread evenly."""
     found = copies(docs, weights, share, most, seed, block_rows, id_col, text_col, source_col)
-    times = (found.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("tie").alias("_tie"))
-             .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0"))
-    text = F.col(text_col)
-    keyed = docs.withColumn("_md5", F.md5(F.coalesce(text, F.lit(""))))
-    joined = keyed.join(times, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-                        & F.col(source_col).eqNullSafe(F.col("_source")) & (F.col("_md5") == F.col("_tie")))
+    times = (found.groupBy("doc_id", "source", "tie")
+             .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0"))
+    rows = packed(docs, id=F.col(f"`{id_col}`").cast("long"), source=F.col(f"`{source_col}`"),
+                  md5=F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    joined = (rows.alias("r").join(times.alias("t"), F.col("r.id").eqNullSafe(F.col("t.doc_id"))
+                                   & F.col("r.source").eqNullSafe(F.col("t.source")) & (F.col("r.md5") == F.col("t.tie")))
+              .select("row", "id", "r.source", "md5", "copies", "rows"))
     # equal rows share their copies: the total is dealt out by a row number among them
-    same = Window.partitionBy("_id", "_source", "_tie").orderBy(F.lit(1))
-    many = joined.where("_rows > 1").withColumn("_i", F.row_number().over(same) - 1)
-    each = F.floor((F.col("_i") + 1) * F.col("_copies") / F.col("_rows")) - F.floor(F.col("_i") * F.col("_copies") / F.col("_rows"))
-    out = (joined.where("_rows = 1").withColumn("_n", F.col("_copies")).drop("_i")
-           .unionByName(many.withColumn("_n", each).drop("_i")))
-    return out.where("_n > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = Window.partitionBy("id", "source", "md5").orderBy(F.lit(1))
+    many = joined.where("rows > 1").withColumn("i", F.row_number().over(same) - 1)
+    each = F.floor((F.col("i") + 1) * F.col("copies") / F.col("rows")) - F.floor(F.col("i") * F.col("copies") / F.col("rows"))
+    out = joined.where("rows = 1").select("row", F.col("copies").alias("n")).union(many.select("row", each.alias("n")))
+    return out.where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchhouse.llm.common import slices, stored, with_package
+from pitchhouse.llm.common import filtered, slices, stored, with_package
 
 PASSAGE = 512
 PAIRS, TRIPLES, KINDS = 256, 256, 12
@@ -217,7 +217,6 @@ def keep_good(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_c
     """The rows of ``docs`` that score ``threshold`` or more, unchanged."""
     with_package(docs.sparkSession)
     at = docs.columns.index(text_col)
-    schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,4 +225,4 @@ def keep_good(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_c
             if got:
                 yield batch.filter(pa.array(np.concatenate(got) >= threshold))
 
-    return docs.mapInArrow(run, schema)
+    return filtered(docs, run)

@@ -14,7 +14,8 @@ these, and each is linked to the least node that shares it.
 Null and empty texts have the fingerprint zero and are linked like any other.
 A null id is never a component's name unless all ids of the component are null,
 which then has a null name; if a whole group has null ids, it is linked to none.
-Repeated rows each give a row.  Other columns of the input are not read.
+Repeated rows each give a row.  Other columns of the input are not read, and where
+rows are kept (``drop_near_duplicates``) they may have any names.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchhouse.llm.common import slices, stored, with_package
+from pitchhouse.llm.common import packed, slices, stored, with_package
 from pitchhouse.llm.components import components
 
 SHINGLE, RADIUS, BITS = 3, 2, 64
@@ -71,16 +72,16 @@ def fingerprints_of(texts: list[str], shingle: int = SHINGLE) -> np.ndarray:
 
 
 def simhashes(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of every whole text, as a long."""
+    """(doc_id, tie, fp): the fingerprint of every whole text, as a long, and the text's MD5."""
     with_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts, part in slices(batches, 1):
-            yield pa.record_batch([part.column(0), pa.array(fingerprints_of(texts, shingle).view(np.int64))],
-                                  names=["doc_id", "fp"])
+            yield pa.record_batch([part.column(0), part.column(2), pa.array(fingerprints_of(texts, shingle).view(np.int64))],
+                                  names=["doc_id", "tie", "fp"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), _tie(text_col).alias("tie"))
+            .mapInArrow(run, "doc_id long, tie string, fp long"))
 
 
 def links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
@@ -110,22 +111,40 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataF
     return pairs.union(stars).distinct()
 
 
+def _tie(text_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+
+def _named(fps: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """(fp, component_id) of every fingerprint."""
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-nodes")
+    joined = components(links(nodes.where("node is not null"), radius, bucket))
+    return nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document: fingerprints link at
     ``radius`` or fewer bits, and a component is named by its smallest id."""
-    fps = stored(simhashes(docs, shingle, id_col, text_col), "simhash")
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-nodes")
-    joined = components(links(nodes.where("node is not null"), radius, bucket))
-    named = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return (fps.join(named, "fp")
+    fps = stored(simhashes(docs, shingle, id_col, text_col).select("doc_id", "fp"), "simhash")
+    return (fps.join(_named(fps, radius, bucket), "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names its component.  Rows without an id
-    cannot be named and stay; so do all rows that repeat the id that stays."""
-    found = near_duplicates(docs, shingle, radius, bucket, id_col, text_col)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """One row of each component: that of the smallest id, or where rows share the
+    id, of the least MD5 of the text; of equal rows any one.  Rows without an id give
+    way to those with one; where none has, one row of each fingerprint stays."""
+    fps = stored(simhashes(docs, shingle, id_col, text_col), "simhash-ties")
+    named = _named(fps, radius, bucket)
+    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
+    # equal rows are counted first, so a component of many copies is a few rows a task
+    stay = (fps.join(named, "fp").groupBy("component_id", alone.alias("alone"), "doc_id", "tie").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("component_id", "alone").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "n")).alias("s"))
+            .select("s.doc_id", "s.tie", "s.n"))
+    rows = packed(docs, id=F.col(f"`{id_col}`").cast("long"), md5=_tie(text_col))
+    kept = rows.join(stay, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("md5") == F.col("tie")))
+    one = kept.where("n = 1").select("row")
+    first = kept.where("n > 1").groupBy("id", "md5").agg(F.first("row").alias("row")).select("row")
+    return one.union(first).select("row.*")

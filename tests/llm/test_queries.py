@@ -59,3 +59,23 @@ def test_stages_keep_the_columns(spark, odd, nothing):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, SF).columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+#: Names that the stages use for themselves, now or before, as columns of the table.
+CLASHES = ["_gone", "_md5", "_n", "_k", "_i", "_id", "_tie", "_source", "_copies", "_rows", "row", "id", "md5", "tie", "n", "rows",
+           "copies", "col", "source_size", "target", "size", "fp", "component_id", "alone", "none", "s", "node", "score", "block", "a.b", "x"]
+
+
+def test_stages_leave_clashing_columns_alone(spark):
+    """Every internal name as an extra column: each stage's rows come back with their own values."""
+    rows = [(i, f"word{i} " * 3 + "some more words of a text " * (1 + i % 4), "en", f"s{i % 3}", 9, *[f"{c}-{i}" for c in CLASHES])
+            for i in [*range(30), 5, 5]]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *CLASHES])
+    bench = table(spark, SF, "benchmark")
+    stages = {name: stage(spark, docs, SF) for name, stage in corpus_pipeline.STAGES[:-1]}
+    stages["decontamination in groups"] = decontam.decontaminate(docs, bench, block_words=50)
+    for name, out in stages.items():
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got or name == "quality classifier"
+        assert {tuple(r) for r in got} <= set(rows), name

@@ -83,3 +83,13 @@ def test_odd_and_empty_tables(spark, odd, nothing):
     assert got == {(None, 2), (1, 1), (2, 2)}
     only = spark.createDataFrame(rows_of([None]), SCHEMA)
     assert simhash.near_duplicates(only).first().fingerprint == "0" * 16
+
+
+def test_one_row_stays_where_ids_repeat(spark):
+    """Rows that share the surviving id, equal rows and rows without an id."""
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (1, "A B c d e"), (None, "a b c d e"), (2, "other words stand here now"),
+            (None, "one more text without any id"), (None, "one more text without any id"), (None, None), (3, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0, 0) for i, t in rows], SCHEMA)
+    got = [(r.doc_id, (r.text or "").lower()) for r in simhash.drop_near_duplicates(df).collect()]
+    assert sorted(got, key=str) == sorted([(1, "a b c d e"), (2, "other words stand here now"),
+                                           (None, "one more text without any id"), (3, "")], key=str)
