@@ -308,7 +308,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, core: int = CORE, hot: i
 
     partly = mixed.join(solved.union(counted), ["key", "whole"]).select(
         "d", "tie", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
-    return throughout.union(partly).groupBy("d", "tie").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    # rows of one id and text give the same spans: as a set, they count once however many they are
+    return throughout.union(partly).groupBy("d", "tie").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 def _packed(base: DataFrame) -> DataFrame:
