@@ -45,7 +45,7 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simple8b.token_files(table(spark, sf_dir, "documents"), tokens.library_path("word_bpe_49k.json"))
+    return simple8b.token_files(table(spark, sf_dir, "documents"), tokens.library_path("word_bpe_49k.json"), keep=1_000_000)
 
 
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ CHUNK, OVERLAP, MARGIN = 16_384, 512, 64
 #: Pieces that an encoder keeps from one slice to the next.
 CACHE = 500_000
 #: Pieces joined to one string, pieces and whole texts given to the library at a time.
-JOINED, BATCH_PIECES, BATCH_TEXTS = 256, 1 << 14, 64
+JOINED, BATCH_PIECES, BATCH_TEXTS = 32, 1 << 14, 64
 
 _loaded: dict = {}
 
@@ -143,11 +143,11 @@ def _room(x: np.ndarray, need: int) -> np.ndarray:
     return out
 
 
-def encoder_of(path: str) -> PieceEncoder:
+def encoder_of(path: str, keep: int = CACHE) -> PieceEncoder:
     """The encoder of this Python process, with the pieces of earlier tasks."""
-    key = (path, "pieces")
+    key = (path, keep)
     if key not in _loaded:
-        _loaded[key] = PieceEncoder(path)
+        _loaded[key] = PieceEncoder(path, keep)
     _loaded[key].trim()
     return _loaded[key]
 
