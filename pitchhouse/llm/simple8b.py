@@ -34,6 +34,7 @@ MAGIC = 0x3142385331
 BLOCK = 1024
 _BY_WIDTH = [15, *range(1, 15)]  # selectors from the fullest on
 _LIMITS = np.array([1 << int(WIDTHS[s]) for s in _BY_WIDTH], np.uint64)  # the first id too wide for each
+_NEED = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
 #: An image is closed when it has so many ids.
 IMAGE_IDS = 1 << 18
 
@@ -46,23 +47,16 @@ def encode_words(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     begin = np.arange(blocks) * BLOCK
     stop = np.minimum(begin + BLOCK, n)
-    end_of = np.repeat(stop, stop - begin)
-    need = np.searchsorted(_LIMITS, v, "right").astype(np.uint8)  # bits of each id, by rising width
+    pos = np.arange(n, dtype=np.int32)
+    left = np.repeat(stop, stop - begin).astype(np.int32) - pos
+    # place in ``_BY_WIDTH`` of the fullest selector that is wide enough for each id
+    need = _NEED[v.astype(np.int64)] if n and v.max() < len(_NEED) else np.searchsorted(_LIMITS, v, "right").astype(np.uint8)
     most = int(need.max(initial=0))
-    best = np.zeros(n, np.uint8)
-    for i, s in enumerate(_BY_WIDTH):
-        if i >= most:  # every id fits, and no wider selector holds more
-            fits, upto = np.flatnonzero(best == 0) if i else np.arange(n), n
-        else:
-            narrow = need <= i
-            fits, wide = np.flatnonzero(narrow), np.append(np.flatnonzero(~narrow), n)
-            upto = wide[np.searchsorted(wide, fits)]
-            ok = upto >= np.minimum(fits + COUNTS[s], end_of[fits])
-            fits = fits[ok]
-            fits = fits[best[fits] == 0]
-        best[fits] = s
-        if i >= most:
-            break
+    best = np.full(n, _BY_WIDTH[most] if most < len(_BY_WIDTH) else 0, np.uint8)  # every id fits, or the escape
+    for i in range(most - 1, int(need.min(initial=0)) - 1, -1):  # fuller selectors overwrite
+        wide = np.append(np.flatnonzero(need > i), n).astype(np.int32)
+        upto = np.repeat(wide, np.diff(wide, prepend=np.int32(-1)))[:n]  # the next wider id
+        best[upto - pos >= np.minimum(left, np.int32(COUNTS[_BY_WIDTH[i]]))] = _BY_WIDTH[i]
     live, at, steps = np.arange(blocks), begin, []
     while len(live):  # the first id of every word
         steps.append((live, at))

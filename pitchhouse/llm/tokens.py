@@ -26,6 +26,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from pyspark.sql import functions as F
 from pitchhouse.llm.common import slices, with_package
 
 CHUNK, OVERLAP, MARGIN = 16_384, 512, 64
+#: Marks at the end of a word, and the first letter beyond the Latin blocks.
+MARKS, LATIN_END = ".,;:!?", "\u0250"
 #: Pieces that an encoder keeps from one slice to the next.
 CACHE = 500_000
 #: Pieces joined to one string, pieces and whole texts given to the library at a time.
@@ -64,7 +67,11 @@ class PieceEncoder:
     Many pieces are encoded as one string, with a special token of the vocabulary
     between them: it is cut out before the text is normalised and split, so its id
     shows where one piece ends.  A piece that holds a character with which a special
-    token starts is encoded by itself."""
+    token starts is encoded by itself.
+
+    Where the vocabulary ignores the case of ASCII letters and cuts marks off a word,
+    a piece's ids are those of its core (in lower case if ASCII), then of the marks at its
+    end: only cores and marks that are new go to the library."""
 
     def __init__(self, path: str, keep: int = CACHE):
         self.tok, self.keep = tokenizer(path), keep
@@ -73,24 +80,68 @@ class PieceEncoder:
         self.between, self.mark = next(iter(sorted(special.items())), (None, None))
         starts = {t.content[:1] for t in self.tok.get_added_tokens_decoder().values()}
         self.alone = re.compile("[" + re.escape("".join(sorted(starts))) + "]") if starts else None
+        folds = self.tok.normalizer is not None and self.tok.normalizer.normalize_str(ascii_uppercase) == ascii_lowercase
+        cuts = self.tok.pre_tokenizer is not None and [x for x, _ in self.tok.pre_tokenizer.pre_tokenize_str("ab" + MARKS)] == ["ab", MARKS]
+        self.parted = folds and cuts
         self.code: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0  # the ids of all pieces, one after the other
         self.first, self.n, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))  # their place, number, uses
 
     def codes(self, pieces: list[str]) -> np.ndarray:
         """A code for each piece, valid until the next ``trim``."""
-        out = np.array(list(map(self.code.get, pieces, repeat(-1))), np.int64)
+        out = np.fromiter(map(self.code.get, pieces, repeat(-1)), np.int64, len(pieces))
         unknown = np.flatnonzero(out < 0).tolist()
         if unknown:
-            self._learn(list(dict.fromkeys(pieces[i] for i in unknown)))
-            out[unknown] = [self.code[pieces[i]] for i in unknown]
+            missed = [pieces[i] for i in unknown]
+            self._learn(list(dict.fromkeys(missed)))
+            out[unknown] = np.fromiter(map(self.code.get, missed), np.int64, len(missed))
         if len(out):
             self.seen[:len(self.code)] += np.bincount(out, minlength=len(self.code))
         return out
 
     def _learn(self, new: list[str]) -> None:
-        joined = [p for p in new if self.mark and not (self.alone and self.alone.search(p))]
-        rest = [p for p in new if not self.mark or (self.alone and self.alone.search(p))]
+        joined, rest = new, []
+        if not self.mark:
+            joined, rest = rest, joined
+        elif self.alone and self.alone.search("".join(new)):
+            joined, rest = [], []
+            for p in new:
+                (rest if self.alone.search(p) else joined).append(p)
+        if self.parted:
+            self._compose(joined)
+        else:
+            self._encode(joined, [])
+        self._encode([], rest)
+
+    def _compose(self, new: list[str]) -> None:
+        """Learn ``new`` from their cores and marks."""
+        lower = [p.lower() if p.isascii() else p for p in new]
+        bare = [p.rstrip(MARKS) for p in lower]
+        plain, own, parts = [], [], []
+        for p, core, word in zip(new, lower, bare):
+            if p == word:  # its own core
+                plain.append(p)
+            # other letters may become a letter and a combining sign, which goes with the marks
+            elif word and word[-1] < LATIN_END and word[-1].isalpha() and len(word[-1].lower()) == 1:
+                own.append(p)
+                parts += (word, core[len(word):])
+            elif p == core:
+                plain.append(p)
+            else:
+                own.append(p)
+                parts += (core, "")
+        known = self.code
+        self._encode([p for p in dict.fromkeys(chain(plain, parts)) if p and p not in known], [])
+        if own:
+            code = np.fromiter(map(known.get, parts, repeat(-1)), np.int64, len(parts)).reshape(-1, 2)
+            code = code[fresh := np.fromiter((p not in known for p in own), bool, len(own))].ravel()
+            size, first = np.where(code < 0, 0, self.n[code]), self.first[code]
+            run = np.cumsum(size) - size
+            ids = self.flat[np.repeat(first - run, size) + np.arange(int(size.sum()))]
+            self._put([p for p, k in zip(own, fresh.tolist()) if k], ids, np.cumsum(size)[1::2])
+
+    def _encode(self, joined: list[str], rest: list[str]) -> None:
+        """Learn pieces from the library: many to a string, and one by one."""
         for i in range(0, len(joined), BATCH_PIECES):
             part = joined[i:i + BATCH_PIECES]
             texts = [self.mark.join(part[k:k + JOINED]) for k in range(0, len(part), JOINED)]

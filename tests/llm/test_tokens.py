@@ -124,3 +124,41 @@ def test_partitions_change_nothing(docs, tmp_dir, n):
     simple8b.write_ids(docs, WORDS, f"{tmp_dir}/ids", partitions=n)
     got = sorted(map(tuple, simple8b.read_ids(docs.sparkSession, f"{tmp_dir}/ids").collect()))
     assert got == sorted(map(tuple, simple8b.token_files(docs, WORDS).collect()))
+
+
+def test_cores_and_marks():
+    """Pieces put together from a core and the marks at its end have the library's ids,
+    also where the normaliser changes the core's last letter."""
+    rng = random.Random(6)
+    encoder = tokens.PieceEncoder(WORDS)
+    assert encoder.parted
+    alphabet = ["a", "B", "Cd", "é", "É", "T̈", "ẗ", "क़", "İ", "1", "'s", "'S", ".", ",", "?!", "<", "漢", "́", "Å"]
+    pieces = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 5))) + rng.choice(["", ".", ",", "...", "?!;:"]) for _ in range(6000)]
+    for at in range(0, len(pieces), 700):  # pieces, cores and marks learned before or in the same call
+        part = pieces[at:at + 700]
+        for p, c in zip(part, encoder.codes(part)):
+            assert encoder.flat[encoder.first[c]:encoder.first[c] + encoder.n[c]].tolist() == library(WORDS, p), repr(p)
+
+
+def test_selectors_against_plain_packing():
+    """Every word holds as many ids as the fullest selector that fits."""
+    rng = random.Random(9)
+    for n in (1, 59, 1023, 1024, 1025, 5000):
+        ids = [rng.choice([0, 0, 1, 3, 200, 999, 48_000, 70_000, 1 << 40, 1 << 62]) if rng.random() < 0.2 else rng.choice([0, 1])
+               for _ in range(n)]
+        got, _, escaped = simple8b.encode_words(np.array(ids, np.uint64))
+        want, out = [], []
+        for b in range(0, n, simple8b.BLOCK):
+            rest = ids[b:b + simple8b.BLOCK]
+            while rest:
+                for s in (15, *range(1, 15), 0):
+                    head = rest[:simple8b.COUNTS[s]]
+                    if not s or max(head) < 1 << int(simple8b.WIDTHS[s]):
+                        break
+                if s:
+                    want.append(s << 60 | sum(v << k * int(simple8b.WIDTHS[s]) for k, v in enumerate(head)))
+                else:
+                    want.append(len(out))
+                    out.append(head[0])
+                rest = rest[len(head):]
+        assert got.tolist() == want and escaped.tolist() == out
