@@ -17,7 +17,9 @@ neither label, language, source nor id is an input of a score.
 
 Null and empty texts are one passage without any byte and get a score.  Of
 repeated labels of a document the lowest counts.  Without labels, or with one
-value only, all documents score that value's share (1 without labels).
+value only, all documents score that value's share (1 without labels).  A very long
+text is expanded ``STEP`` bytes at a time; what stays of it is ``WIDTH`` numbers a
+passage.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ PAIRS, TRIPLES, KINDS = 256, 256, 12
 #: Bytes added to a passage's length, so that a short one shows less of what it happens to hold.
 SMOOTH = 48
 WIDTH, GATE = 24, 12
+#: Bytes of whole passages that are expanded to features at a time.
+STEP = 1024 * PASSAGE
 #: Documents and passages (1200 texts of 65,536 bytes) of each label that the fit uses.
 PER_LABEL, MOST = 1200, 153_600
 THRESHOLD = 0.7
@@ -60,10 +64,13 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(features of every passage, the text of each): counts of hashed pairs and
     triples under a square root, rates of character kinds, and the share of
     triples that the passage had before."""
-    raws = [t.encode() for t in texts]
+    return _features([t.encode() for t in texts])
+
+
+def _features(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(r) for r in raws], np.int64)
     n = np.maximum(1, -(-sizes // PASSAGE))
-    owner = np.repeat(np.arange(len(texts)), n)
+    owner = np.repeat(np.arange(len(raws)), n)
     total = int(n.sum())
     x = np.frombuffer(b"".join(raws), np.uint8)
     begin = np.cumsum(sizes) - sizes
@@ -97,8 +104,11 @@ def _softmax(s: np.ndarray, first: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return e / np.add.reduceat(e, first)[owner]
 
 
-def _forward(m: dict, x: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tuple:
-    h = np.tanh(x @ m["E"] + m["e"])
+def _encoded(m: dict, x: np.ndarray) -> np.ndarray:
+    return np.tanh(x @ m["E"] + m["e"])
+
+
+def _attend(m: dict, h: np.ndarray, owner: np.ndarray, first: np.ndarray) -> tuple:
     t, g = np.tanh(h @ m["V"]), 1 / (1 + np.exp(-(h @ m["U"])))
     a = _softmax((t * g) @ m["w"], first, owner)
     z = np.add.reduceat(a[:, None] * h, first, axis=0)
@@ -128,7 +138,7 @@ def fit(x: np.ndarray, owner: np.ndarray, y: np.ndarray, weight: np.ndarray, epo
             first = np.cumsum(n) - n
             own = np.repeat(np.arange(len(pick)), n)
             xb = x[np.repeat(begin[pick] - first, n) + np.arange(int(n.sum()))]
-            h, t, g, a, z, p = _forward(m, xb, own, first)
+            h, t, g, a, z, p = _attend(m, _encoded(m, xb), own, first)
             dl = ((p - y[pick]) * weight[pick] / weight[pick].sum()).astype(np.float32)
             dz = dl[:, None] * m["c"]
             da = (dz[own] * h).sum(1)
@@ -153,9 +163,27 @@ def fit(x: np.ndarray, owner: np.ndarray, y: np.ndarray, weight: np.ndarray, epo
 def scores(model: dict, texts: list[str]) -> np.ndarray:
     if "share" in model:
         return np.full(len(texts), model["share"])
-    x, owner = passages(texts)
+    h, owner, held, whose = [], [], [], []
+
+    def encode() -> None:
+        x, piece = _features(held)
+        h.append(_encoded(model, x))
+        owner.append(np.array(whose)[piece])
+        held.clear()
+        whose.clear()
+
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        for k in range(0, max(1, len(raw)), STEP):  # no feature crosses a passage's end
+            if held and sum(map(len, held)) + min(STEP, len(raw) - k) > STEP:
+                encode()
+            held.append(raw[k:k + STEP])
+            whose.append(i)
+    if held:
+        encode()
+    owner = np.concatenate(owner or [np.zeros(0, np.int64)])
     first = np.searchsorted(owner, np.arange(len(texts)))
-    return _forward(model, x, owner, first)[-1].astype(np.float64)
+    return _attend(model, np.concatenate(h), owner, first)[-1].astype(np.float64) if h else np.zeros(0)
 
 
 def held_out(doc_id: Column) -> Column:

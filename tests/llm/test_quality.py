@@ -1,4 +1,6 @@
+import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -85,7 +87,7 @@ def test_attention_gradients():
     y = (x[::3, 0] > 0).astype(np.float32)
     x[::3, 0] *= 5
     model = quality.fit(x.copy(), owner, y, np.ones(100, np.float32) / 100, epochs=80)
-    p = quality._forward(model, x, owner, np.arange(0, 300, 3))[-1]
+    p = quality._attend(model, quality._encoded(model, x), owner, np.arange(0, 300, 3))[-1]
     assert np.mean((p > 0.5) == (y > 0.5)) > 0.95
 
 
@@ -108,3 +110,62 @@ def test_odd_and_empty_tables(spark, odd, nothing, labelled):
     assert quality.train(odd, nulls) == {"share": 1.0}
     assert quality.train(nothing, labelled[1])["share"] == pytest.approx(0.5, abs=0.1)
     assert quality.train(*labelled).keys() == model.keys() and rows_of([])== []
+
+
+def _plain_score(m: dict, text: str) -> float:
+    """Features, gated attention and score of one text, a passage and a feature at a time."""
+    raw = text.encode()
+    h, weights = [], []
+    for at in range(0, max(1, len(raw)), quality.PASSAGE):
+        p = raw[at:at + quality.PASSAGE]
+        pairs, triples, kinds, seen, again = [0] * quality.PAIRS, [0] * quality.TRIPLES, [0] * quality.KINDS, set(), 0
+        for i, b in enumerate(p):
+            for k in range(quality.KINDS):
+                kinds[k] += quality.KIND[b][k]
+            if i >= 1:
+                code = p[i - 1] * 257 + b
+                pairs[(code * 2654435761 % 2**32 >> 24) % quality.PAIRS] += 1
+            if i >= 2:
+                code = (p[i - 2] * 257 + p[i - 1]) * 263 + b
+                triples[(code * 2654435761 % 2**32 >> 24) % quality.TRIPLES] += 1
+                again += p[i - 2:i + 1] in seen
+                seen.add(p[i - 2:i + 1])
+        n = max(1, len(p))
+        x = [(c / (n + quality.SMOOTH)) ** 0.5 for c in pairs + triples] + [c / n for c in kinds] + [again / (n + quality.SMOOTH)]
+        hidden = [math.tanh(sum(v * float(w) for v, w in zip(x, m["E"][:, j])) + float(m["e"][j])) for j in range(quality.WIDTH)]
+        gate = 0.0
+        for j in range(quality.GATE):
+            v = sum(a * float(w) for a, w in zip(hidden, m["V"][:, j]))
+            u = sum(a * float(w) for a, w in zip(hidden, m["U"][:, j]))
+            gate += float(m["w"][j]) * math.tanh(v) / (1 + math.exp(-u))
+        h.append(hidden)
+        weights.append(math.exp(gate))
+    z = [sum(w * x[j] for w, x in zip(weights, h)) / sum(weights) for j in range(quality.WIDTH)]
+    return 1 / (1 + math.exp(-sum(a * float(c) for a, c in zip(z, m["c"])) - float(m["b"][0])))
+
+
+def _some_model() -> dict:
+    rng = np.random.default_rng(3)
+    d = quality.PAIRS + quality.TRIPLES + quality.KINDS + 1
+    shapes = {"E": (d, quality.WIDTH), "e": quality.WIDTH, "V": (quality.WIDTH, quality.GATE), "U": (quality.WIDTH, quality.GATE),
+              "w": quality.GATE, "c": quality.WIDTH, "b": 1}
+    return {k: rng.normal(0, 0.5, v).astype(np.float32) for k, v in shapes.items()}
+
+
+def test_scores_against_loops(monkeypatch):
+    model = _some_model()
+    texts = ["", "a", "ab", "The same words. " * 90, "é漢字😀 x\n" * 100, "x" * quality.PASSAGE, "y1#" * 700]
+    want = [_plain_score(model, t) for t in texts]
+    for step in (quality.PASSAGE, 3 * quality.PASSAGE, quality.STEP):
+        monkeypatch.setattr(quality, "STEP", step)
+        np.testing.assert_allclose(quality.scores(model, texts), want, atol=2e-5)
+    assert len(quality.scores(model, [])) == 0
+
+
+def test_memory_of_a_very_long_text():
+    text = "".join(f"word{i % 977} " for i in range(1_200_000))
+    tracemalloc.start()
+    quality.scores(_some_model(), [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(text) + (64 << 20), peak / len(text)
