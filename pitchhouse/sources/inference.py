@@ -26,19 +26,30 @@ KINDS = {"boolean": "boolean", "bigint": "bigint", "hugeint": "decimal(38,0)", "
          "day dmy": "date", "day mdy": "date", "timestamp": "timestamp_ntz", "time": "string"}
 TRUE, FALSE = ("true", "t", "yes"), ("false", "f", "no")
 NUMBERS, TIMES = ("bigint", "hugeint", "double"), ("date", "timestamp")
-DAY_FORMATS = {"day ymd": "yyyy-M-d", "day dmy": "d-M-yyyy", "day mdy": "M-d-yyyy"}
+DAYS = ("day ymd", "day dmy", "day mdy")
 LINEAGE = ("season", "_source_file", "_loaded_at")
 
-_WHOLE = r"^-?(0|[1-9][0-9]*)$"
-_DOUBLE = r"^(-?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan))$"
-_DAY = {"day ymd": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "day dmy": r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"}
-_DAY["day mdy"] = _DAY["day dmy"]
+_WHOLE = r"^-?(?:0|[1-9][0-9]*)$"
+_DOUBLE = r"^(?:-?(?:(?:0|[1-9][0-9]*)(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:nan))$"
+_D, _M = "(?:0?[1-9]|[12][0-9]|3[01])", "(?:0?[1-9]|1[0-2])"
+_DAY = {"day ymd": f"^[0-9]{{4}}-{_M}-{_D}$", "day dmy": f"^{_D}-{_M}-[0-9]{{4}}$", "day mdy": f"^{_M}-{_D}-[0-9]{{4}}$"}
 _STAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?$"
 _TIME = r"^([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?$"
 
 
 def _dashed(v: Column) -> Column:
-    return F.regexp_replace(v, "[/.]", "-")
+    return F.translate(v, "/.", "--")
+
+
+def _day(v: Column, kind: str) -> Column:
+    """The day that a value shaped like ``kind`` is, NULL if the calendar lacks it.  Its
+    parts are put year first and cast, which needs no parser and raises nothing."""
+    d = _dashed(v)
+    if kind == "day ymd":
+        return d.try_cast("date")
+    first, second = F.split_part(d, F.lit("-"), F.lit(1)), F.split_part(d, F.lit("-"), F.lit(2))
+    month, day = (second, first) if kind == "day dmy" else (first, second)
+    return F.concat_ws("-", F.right(d, F.lit(4)), month, day).try_cast("date")
 
 
 def reads(v: Column, kind: str) -> Column:
@@ -51,20 +62,32 @@ def reads(v: Column, kind: str) -> Column:
         return v.rlike(_WHOLE) & v.try_cast("decimal(38,0)").isNotNull()
     if kind == "double":
         return v.rlike(_DOUBLE)
-    if kind in DAY_FORMATS:
-        return _dashed(v).rlike(_DAY[kind]) & F.try_to_date(_dashed(v), DAY_FORMATS[kind]).isNotNull()
+    if kind in DAYS:
+        return _dashed(v).rlike(_DAY[kind]) & _day(v, kind).isNotNull()
     if kind == "timestamp":
         return v.rlike(_STAMP) & v.try_cast("timestamp_ntz").isNotNull()
     return v.rlike(_TIME)
 
 
 def _bits(v: Column) -> Column:
-    """The kinds that read a trimmed value; NULL for an empty one, which takes no part."""
-    found = [F.when(reads(v, k), 1 << i).otherwise(0) for i, k in enumerate(KINDS)]
-    total = found[0]
-    for f in found[1:]:
-        total = total + f
-    return F.when(v != "", total)
+    """The kinds that read a trimmed value; NULL for an empty one, which takes no part.
+
+    A value is first told by its shape, and only the kinds that read some value of that
+    shape are tried: whole numbers by their length, values without a digit as truth
+    values or ``nan``, and of the rest only those that begin like a number or a day."""
+    def tried(*kinds: str) -> Column:
+        total = F.lit(0)
+        for i, k in enumerate(KINDS):
+            if k in kinds:
+                total = total + F.when(reads(v, k), 1 << i).otherwise(0)
+        return total
+
+    bit = {k: 1 << i for i, k in enumerate(KINDS)}
+    short = F.lit(bit["bigint"] | bit["hugeint"] | bit["double"])
+    whole = F.when(F.length(v) <= 18, short).otherwise(tried("bigint", "hugeint", "double"))
+    others = F.when(~v.rlike("^[-.0-9]"), F.lit(0)).otherwise(tried("double", *DAYS, "timestamp", "time"))
+    return (F.when(v.isNull() | (v == ""), F.lit(None).cast("int")).when(v.rlike(_WHOLE), whole)
+            .when(~v.rlike("[0-9]"), tried("boolean", "double")).otherwise(others))
 
 
 def data_columns(raw: DataFrame) -> list[str]:
@@ -75,10 +98,14 @@ def file_types(raw: DataFrame, present: DataFrame | None = None, file_col: str =
     """(file, column, kind): one row for every column of every source file.
     ``present``: the (file, column) pairs that exist, in lower case; without it each
     file has every column."""
-    values = F.array(*[F.struct(F.lit(c).alias("column"), F.trim(F.col(f"`{c}`")).alias("v")) for c in data_columns(raw)])
-    # one value a row: one expression is compiled however many columns there are
-    long = (raw.select(F.col(file_col).alias("file"), F.inline(values))
-            .groupBy("file", "column").agg(F.bit_and(_bits(F.col("v"))).alias("bits")))
+    names = data_columns(raw)
+    # one value a row, so one expression is compiled however many columns there are; its bits are a
+    # row of their own, since the aggregate would repeat the expression until it is too long to compile
+    values = raw.select(F.col(file_col).alias("file"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]) \
+        .unpivot("file", [f"c{i}" for i in range(len(names))], "place", "v").select("file", "place", F.trim("v").alias("v"))
+    name_of = F.create_map(*[F.lit(x) for i, c in enumerate(names) for x in (f"c{i}", c)])
+    long = (values.select("file", "place", F.inline(F.array(F.struct(_bits(F.col("v")).alias("bits")))))
+            .groupBy("file", "place").agg(F.bit_and("bits").alias("bits")).withColumn("column", name_of[F.col("place")]))
     kind = F.lit("text")
     for i, k in reversed(list(enumerate(KINDS))):
         kind = F.when(F.col("bits").bitwiseAND(F.lit(1 << i)) != 0, k).otherwise(kind)
@@ -92,7 +119,7 @@ def file_types(raw: DataFrame, present: DataFrame | None = None, file_col: str =
 def joined_types(kinds: DataFrame) -> DataFrame:
     """(column, type): the least type above those of all files."""
     types = F.col("kind")
-    for k in DAY_FORMATS:
+    for k in DAYS:
         types = F.when(F.col("kind") == k, "date").otherwise(types)
     sets = kinds.groupBy("column").agg(F.collect_set(types).alias("s"))
     one = F.when(F.size("s") == 1, F.get("s", F.lit(0)))
@@ -125,7 +152,7 @@ def typed(raw: DataFrame, present: DataFrame | None = None, file_col: str = "_so
             return F.lower(v).isin(*TRUE)
         if t in TIMES:
             kind = F.col("_kinds")[c]
-            day = F.coalesce(*[F.when(kind == k, F.try_to_date(_dashed(v), f)) for k, f in DAY_FORMATS.items()])
+            day = F.coalesce(*[F.when(kind == k, _day(v, k)) for k in DAYS])
             if t == "date":
                 return day
             return F.when(kind == "timestamp", v.try_cast("timestamp_ntz")).otherwise(day.cast("timestamp_ntz"))

@@ -236,3 +236,28 @@ def test_inferred_types_as_duckdb(spark, tmp_dir):
         for c in types:
             v = y[c].strftime("%H:%M") if isinstance(y[c], dt.time) else y[c]
             assert (str(x[c]) == str(v)) or x[c] == v, (c, x[c], v)
+
+
+def test_type_bits_against_each_kind_alone(spark):
+    """A value told by its shape reads as the same kinds as when every kind is tried,
+    the days as Spark's own parser reads them, and the bits are evaluated once a value."""
+    from functools import reduce
+    from pitchhouse.sources import inference as I
+    texts = ["true", "No", "nan", "-nan", ".", "-", "-0", "007", "1.", "-.5", "1e5", "+5", "9" * 18, "9" * 19, "-" + "9" * 38, "9" * 39,
+             "9223372036854775807", "9223372036854775808", "29/02/2023", "29.2.2024", "31-4-2001", "04/31/2001", "13/13/2001", "00/01/2001",
+             "0000-1-1", "2020-13-01", "2020-1-31", "2020-01-01 10:00", "2020-01-01T25:00", "24:00", "23:59", "x1", "Ñ", "\u0663", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    v = F.col("v")
+    formats = {"day ymd": "yyyy-M-d", "day dmy": "d-M-yyyy", "day mdy": "M-d-yyyy"}
+    shapes = {k: r"^\d{4}-\d{1,2}-\d{1,2}$" if k == "day ymd" else r"^\d{1,2}-\d{1,2}-\d{4}$" for k in formats}
+    dashed = F.regexp_replace(v, "[/.]", "-")
+
+    def alone(k):
+        return dashed.rlike(shapes[k]) & F.try_to_date(dashed, formats[k]).isNotNull() if k in formats else I.reads(v, k)
+
+    bits = [F.when(alone(k), 1 << i).otherwise(0) for i, k in enumerate(I.KINDS)]
+    got = rows.select("v", I._bits(v).alias("got"), F.when(v != "", reduce(lambda a, b: a + b, bits)).alias("want")).collect()
+    assert [(r["v"], r["got"]) for r in got] == [(r["v"], r["want"]) for r in got]
+    plan = I.file_types(rows.withColumn("f", F.lit("a")), file_col="f")._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = next(x for x in plan.splitlines() if "bit_and" in x)
+    assert "RLIKE" not in aggregate
