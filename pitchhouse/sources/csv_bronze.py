@@ -29,13 +29,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchhouse.functions.season import season_from_filename
+from pitchhouse.functions.season import FILE_NAME, season_from_filename
 from pitchhouse.operators.joins import bounded_broadcast
 from pitchhouse.operators.keys import materialize
 from pitchhouse.session import ship_package
 
 #: Lines that a header may span.
 HEADER_LINES = 100
+#: Places of one column over all files up to which each is a branch of its own.
+MANY_PLACES = 8
 
 
 class NoSourceFiles(FileNotFoundError):
@@ -141,26 +143,45 @@ def land_csv(spark: SparkSession, pattern: str, source_name: str = "file", sep:
     partition folder (``_source_file=LaLiga 22-23.csv/``).
     """
     heads = csv_headers(spark, pattern, sep, recursive)
-    one = heads.agg(F.count(F.lit(1)).alias("files"), F.max(F.size("names")).alias("width"), F.max("spans").alias("spans")).first()
+    one = heads.agg(F.count(F.lit(1)).alias("files"), F.max(F.size("names")).alias("width"), F.min(F.size("names")).alias("least"),
+                    F.max("spans").alias("spans")).first()
     if not one["files"]:
         raise NoSourceFiles(f"no CSV file with a header matches {pattern}")
-    columns = [r["first"]["name"] for r in (
-        heads.select("path", F.posexplode("names").alias("pos", "name"))
-        .groupBy(F.lower("name").alias("k")).agg(F.min(F.struct("path", "pos", "name")).alias("first"))
-        .orderBy("first").collect())]
+    found = (heads.select("path", F.posexplode("names").alias("pos", "name"))
+             .groupBy(F.lower("name").alias("k"))
+             .agg(F.min(F.struct("path", "pos", "name")).alias("first"), F.count(F.lit(1)).alias("files"),
+                  F.sort_array(F.collect_set("pos")).alias("at"))
+             .orderBy("first").collect())
+    moved = [r["k"] for r in found if len(r["at"]) > 1 or r["files"] < one["files"]]
     lower = F.transform("names", F.lower)
-    places = heads.select("path", F.size("names").alias("n"),
-                          F.array(*[F.array_position(lower, c.lower()).cast("int") for c in columns]).alias("places"))
+    # what depends on the file alone is made once a file, not once a row
+    name = _source_name(source_name, F.col("path"))
+    places = heads.select("path", F.size("names").alias("n"), name.alias("_source_file"),
+                          F.coalesce(name.rlike(FILE_NAME), F.lit(True)).alias("named"),
+                          F.array(*[F.array_position(lower, k).cast("int") for k in moved]).cast("array<int>").alias("places"))
+    places = places.withColumn("season", F.when(F.col("named"), season_from_filename("_source_file")))
     by_place = ", ".join(f"f{i} string" for i in range(one["width"] + 1))  # one more: fields beyond the widest header
-    name = _source_name(source_name, F.col("_metadata.file_path"))
     records = (_reader(spark, recursive).schema(by_place).option("header", True).option("enforceSchema", True)
                .option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", bool(one["spans"])).csv(pattern)
-               .select(F.array(*[f"f{i}" for i in range(one["width"] + 1)]).alias("fields"),
-                       F.col("_metadata.file_path").alias("path"), name.alias("_source_file")))
+               .select(*[f"f{i}" for i in range(one["width"] + 1)], F.col("_metadata.file_path").alias("path")))
     rows = records.join(bounded_broadcast(places, one["files"]), "path")
-    beyond = F.exists(F.slice("fields", F.col("n") + 1, one["width"] + 1), lambda x: x.isNotNull())
+    beyond = F.col(f"f{one['width']}").isNotNull()
+    for i in range(one["least"], one["width"]):
+        beyond = beyond | ((F.col("n") <= i) & F.col(f"f{i}").isNotNull())
     source = F.when(beyond, F.raise_error(F.concat(F.lit("record with more fields than the header of "), "path")).cast("string")) \
         .otherwise(F.col("_source_file"))
-    fields = [F.when(F.col("places")[i] > 0, F.col("fields")[F.col("places")[i] - 1]).alias(c) for i, c in enumerate(columns)]
-    return rows.select(*fields, season_from_filename(F.col("_source_file")).alias("season"), source.alias("_source_file"),
-                       F.current_timestamp().alias("_loaded_at"))
+    season = F.when(F.col("named"), F.col("season")).otherwise(season_from_filename("_source_file"))
+
+    def field(k: str, at: list[int]) -> Column:
+        if k not in moved:
+            return F.col(f"f{at[0]}")
+        place = F.col("places")[moved.index(k)]
+        if len(at) > MANY_PLACES:
+            return F.when(place > 0, F.array(*[f"f{i}" for i in range(one["width"])])[place - 1])
+        out = F.when(place == at[0] + 1, F.col(f"f{at[0]}"))
+        for i in at[1:]:
+            out = out.when(place == i + 1, F.col(f"f{i}"))
+        return out
+
+    return rows.select(*[field(r["k"], r["at"]).alias(r["first"]["name"]) for r in found], season.alias("season"),
+                       source.alias("_source_file"), F.current_timestamp().alias("_loaded_at"))

@@ -261,3 +261,27 @@ def test_type_bits_against_each_kind_alone(spark):
     plan = I.file_types(rows.withColumn("f", F.lit("a")), file_col="f")._jdf.queryExecution().optimizedPlan().toString()
     aggregate = next(x for x in plan.splitlines() if "bit_and" in x)
     assert "RLIKE" not in aggregate
+
+
+def test_landing_by_many_layouts(spark, tmp_dir):
+    """A column at more places than there are branches, at one place in all files, and in some
+    files only; what the file's name gives is made once a file; a value beyond a narrow header fails."""
+    from pitchhouse.sources import csv_bronze
+    n = csv_bronze.MANY_PLACES + 3
+    for i in range(n):
+        names = ["first", *[f"p{j}" for j in range(i)], "moving"] + (["some"] if i % 2 else [])
+        with open(os.path.join(tmp_dir, f"LaLiga {i:02d}-{i + 1:02d}.csv"), "w") as f:
+            f.write(",".join(names) + "\n" + ",".join(f"{i}:{c}" for c in names) + "\n")
+    landed = land_csv(spark, os.path.join(tmp_dir, "*.csv"))
+    rows = {r["_source_file"]: r.asDict() for r in landed.collect()}
+    for i in range(n):
+        r = rows[f"LaLiga {i:02d}-{i + 1:02d}.csv"]
+        assert (r["first"], r["moving"], r["season"]) == (f"{i}:first", f"{i}:moving", f"20{i:02d}-{i + 1:02d}")
+        assert r["some"] == (f"{i}:some" if i % 2 else None)
+        assert [r[f"p{j}"] for j in range(n - 1)] == [f"{i}:p{j}" if j < i else None for j in range(n - 1)]
+    plan = landed._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan.split("Join")[0]
+    with open(os.path.join(tmp_dir, "LaLiga 40-41.csv"), "w") as f:
+        f.write("first,moving\n1,2,3\n")
+    with pytest.raises(Exception, match="more fields than the header"):
+        land_csv(spark, os.path.join(tmp_dir, "*.csv")).collect()
