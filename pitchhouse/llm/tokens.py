@@ -16,12 +16,18 @@ special string covers ``p`` and its scan from ``p`` on equals that of the whole
 text.  So tokens before ``p`` count from the left chunk, those from ``p`` on from
 the right one.
 
+A text that is encoded whole is counted by units, white space and what follows it up to
+the next: the byte-level scan breaks wherever white space begins, and looks no further
+than the first character after it.  The library encodes each distinct unit once, as long
+as it is kept.
+
 Nulls and empty texts have 0 tokens.  Repeated rows each give a row.  The result
 has the id and new columns only, so other columns of the input cannot clash.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -38,10 +44,16 @@ from pitchhouse.llm.common import slices, with_package
 CHUNK, OVERLAP, MARGIN = 16_384, 512, 64
 #: Marks at the end of a word, and the first letter beyond the Latin blocks.
 MARKS, LATIN_END = ".,;:!?", "\u0250"
+#: The first character beyond Latin, Greek, Cyrillic and Armenian.
+LETTERS_END = 0x590
 #: Pieces that an encoder keeps from one slice to the next.
 CACHE = 500_000
 #: Pieces joined to one string, pieces and whole texts given to the library at a time.
 JOINED, BATCH_PIECES, BATCH_TEXTS = 256, 1 << 14, 64
+#: White space and what follows; what is white space to Python alone, or to older libraries.
+UNIT, UNSURE = re.compile(r"\s*\S+|\s+"), re.compile("[\x1c-\x1f\u180e]")
+#: Units that a counter keeps in each of two generations, and the longest one kept.
+UNITS, LONGEST = 200_000, 64
 
 _loaded: dict = {}
 
@@ -71,7 +83,9 @@ class PieceEncoder:
 
     Where the vocabulary ignores the case of ASCII letters and cuts marks off a word,
     a piece's ids are those of its core (in lower case if ASCII), then of the marks at its
-    end: only cores and marks that are new go to the library."""
+    end: only cores and marks that are new go to the library.  A core of letters
+    that the normaliser and the splitter leave as they are goes to the library's model
+    straight away."""
 
     def __init__(self, path: str, keep: int = CACHE):
         self.tok, self.keep = tokenizer(path), keep
@@ -83,6 +97,8 @@ class PieceEncoder:
         folds = self.tok.normalizer is not None and self.tok.normalizer.normalize_str(ascii_uppercase) == ascii_lowercase
         cuts = self.tok.pre_tokenizer is not None and [x for x, _ in self.tok.pre_tokenizer.pre_tokenize_str("ab" + MARKS)] == ["ab", MARKS]
         self.parted = folds and cuts
+        self.model, self.letters = self.tok.model, _letters(self.tok) if self.parted else {}
+        self.word = re.compile("[" + "".join(map(chr, self.letters)) + "]+").fullmatch if self.letters else None
         self.code: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0  # the ids of all pieces, one after the other
         self.first, self.n, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))  # their place, number, uses
@@ -142,6 +158,15 @@ class PieceEncoder:
 
     def _encode(self, joined: list[str], rest: list[str]) -> None:
         """Learn pieces from the library: many to a string, and one by one."""
+        if self.word:
+            words, every, joined = [], joined, []
+            for p in every:
+                (words if self.word(p) else joined).append(p)
+            for i in range(0, len(words), BATCH_PIECES):
+                part = words[i:i + BATCH_PIECES]
+                seen = [p if p.isascii() else p.translate(self.letters) for p in part]
+                ids = [[x.id for x in self.model.tokenize(p)] for p in seen]
+                self._put(part, np.fromiter(chain.from_iterable(ids), np.uint32), np.cumsum([len(x) for x in ids]))
         for i in range(0, len(joined), BATCH_PIECES):
             part = joined[i:i + BATCH_PIECES]
             texts = [self.mark.join(part[k:k + JOINED]) for k in range(0, len(part), JOINED)]
@@ -185,6 +210,19 @@ class PieceEncoder:
             self._put(pieces, ids, np.cumsum(size))
 
 
+def _letters(tok) -> dict[int, str]:
+    """Letters that the vocabulary's normaliser keeps and its splitter never takes
+    apart, with what its model reads for each; none if it does not work so."""
+    norm = tok.normalizer.normalize_str if tok.normalizer is not None else str
+    cut, out = tok.pre_tokenizer.pre_tokenize_str, {}
+    for c in map(chr, range(LETTERS_END)):
+        if c.isalpha() and norm(c) == c and len(parts := cut(c)) == 1:
+            out[ord(c)] = parts[0][0]
+    text = "".join(map(chr, out))
+    same = norm(text) == text and [x for x, _ in cut(text)] == ["".join(out.values())]
+    return out if same and all(out.get(ord(c)) == c for c in ascii_lowercase) else {}
+
+
 def _room(x: np.ndarray, need: int) -> np.ndarray:
     """``x`` with room for ``need`` values, doubled as often as that takes."""
     if need <= len(x):
@@ -203,24 +241,117 @@ def encoder_of(path: str) -> PieceEncoder:
     return _loaded[key]
 
 
+class Units:
+    """Token counts of short texts: the library encodes distinct units.  Those of the
+    last ``keep`` and more that were met are kept: when so many are new, the
+    generation before is forgotten, but for the ones met since."""
+
+    def __init__(self, path: str, keep: int = UNITS):
+        self.tok, self.keep = tokenizer(path), keep
+        self.old: dict[str, int] = {}
+        self.new: dict[str, int] = {}
+        pre = self.tok.pre_tokenizer
+        scan = json.loads(pre.__getstate__()) if pre is not None else {}
+        added = self.tok.get_added_tokens_decoder().values()
+        #: whether units are independent in this vocabulary
+        self.apart = (self.tok.normalizer is None and scan.get("type") == "ByteLevel" and scan.get("use_regex") is True
+                      and not scan.get("add_prefix_space")
+                      and not any(t.lstrip or t.rstrip or t.single_word or t.normalized or UNIT.findall(t.content) != t.content.split() for t in added))
+        # a word and its marks are scanned apart, if no added token may be in them
+        self.model, self.letters = self.tok.model, _letters(self.tok) if self.apart else {}
+        plain = self.letters and not any(t.content[:1] in MARKS or ord(t.content[:1] or " ") in self.letters for t in added)
+        cuts = plain and [x for x, _ in pre.pre_tokenize_str(" ab" + MARKS)] == [pre.pre_tokenize_str(" ")[0][0] + "ab", MARKS]
+        self.word = re.compile("( ?[" + "".join(map(chr, self.letters)) + "]+)([" + MARKS + "]*)").fullmatch if cuts else None
+        if cuts:
+            self.letters = self.letters | {ord(" "): pre.pre_tokenize_str(" ")[0][0]}
+
+    def _encoded(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """Tokens of whole texts."""
+        out = np.zeros(len(texts), np.int64)
+        whole = [i for i, t in enumerate(texts) if not self.apart or UNSURE.search(t)]
+        out[whole] = self._encoded([texts[i] for i in whole])
+        rest = sorted(set(range(len(texts))).difference(whole))
+        units = [UNIT.findall(texts[i]) for i in rest]
+        upto = np.append(0, np.cumsum(self.of(list(chain.from_iterable(units)))))[np.cumsum([0, *map(len, units)])]
+        out[rest] = np.diff(upto)
+        return out
+
+    def of(self, units: list[str]) -> np.ndarray:
+        """Tokens of each unit."""
+        n = np.fromiter(map(self.new.get, units, repeat(-1)), np.int64, len(units))
+        missed = np.flatnonzero(n < 0).tolist()
+        if missed:
+            words = [units[i] for i in missed]
+            n[missed] = np.fromiter(map(self._learned(dict.fromkeys(words)).get, words), np.int64, len(words))
+        return n
+
+    def _learned(self, words: dict[str, None]) -> dict[str, int]:
+        found: dict[str, int] = {}
+        rest: list[str] = []
+        for w in words:
+            n = self.old.get(w)
+            if n is None and self.word and (m := self.word(w)):
+                n = sum(map(self._part, m.groups()))
+            if n is None:
+                rest.append(w)
+            else:
+                found[w] = n
+        for k in range(0, len(rest), BATCH_PIECES):
+            part = rest[k:k + BATCH_PIECES]
+            found.update(zip(part, self._encoded(part)))
+        self.new.update((w, n) for w, n in found.items() if len(w) <= LONGEST)
+        if len(self.new) > self.keep:
+            self.old, self.new = self.new, {}
+        return found
+
+    def _part(self, part: str) -> int:
+        """Tokens of a word or of marks, which the model reads at once."""
+        n = self.new.get(part, self.old.get(part)) if part else 0
+        if n is None:
+            n = len(self.model.tokenize(part if part.isascii() and part[0] != " " else part.translate(self.letters)))
+            if len(part) <= LONGEST:
+                self.new[part] = n
+        return n
+
+
+def units_of(path: str) -> Units:
+    """The units of this Python process, with those of earlier tasks."""
+    key = (path, "units")
+    if key not in _loaded:
+        _loaded[key] = Units(path)
+    return _loaded[key]
+
+
 class Counter:
     """Token counts of whole texts."""
 
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
-        self.tok, self.chunk, self.overlap = tokenizer(path), chunk, overlap
+        self.tok, self.chunk, self.overlap, self.units = tokenizer(path), chunk, overlap, units_of(path)
 
     def counts(self, texts: list[str]) -> np.ndarray:
-        """Short texts whole, many at once; huge ones chunk by chunk."""
+        """Short texts whole; huge ones chunk by chunk."""
         out = np.zeros(len(texts), np.int64)
         short = [i for i, t in enumerate(texts) if len(t) <= self.chunk]
         for k in range(0, len(short), BATCH_TEXTS):
             part = short[k:k + BATCH_TEXTS]
-            out[part] = [len(e) for e in self.tok.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)]
+            out[part] = self.units.counts([texts[i] for i in part])
         for i, t in enumerate(texts):
             if len(t) > self.chunk:
-                out[i] = resync_count(t, self.encode, self.chunk, self.overlap)
+                # units as the items of a chunk, where some will start in every overlap
+                by_unit = self.units.apart and not UNSURE.search(t) and max(map(len, UNIT.findall(t)[:-1]), default=len(t)) <= self.overlap // 4
+                out[i] = resync_count(t, self.encode_units if by_unit else self.encode, self.chunk, self.overlap)
         return out
 
+    def encode_units(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(digests, starts, heads) of a chunk's units, and the tokens before each."""
+        units = UNIT.findall(text)
+        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        before = np.append(0, np.cumsum(self.units.of(units)))
+        return np.fromiter(map(hash, units), np.int64, len(units)), np.append(0, ends[:-1]), np.ones(len(units), bool), before
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, start offsets, whether a pre-token starts there) of a chunk."""
         e = self.tok.encode(text, add_special_tokens=False)
@@ -234,8 +365,8 @@ class Counter:
 def resync_count(text: str, encode: Callable, chunk: int = CHUNK, overlap: int = OVERLAP,
                  margin: int = MARGIN, seen: list | None = None) -> int:
     """Tokens of ``text`` from overlapping chunks.  ``encode`` gives ids, start
-    offsets and pre-token heads of a chunk; ``seen`` gets the splice points and
-    the overlaps that were needed."""
+    offsets and pre-token heads of a chunk, and the tokens before each item if items
+    are not tokens; ``seen`` gets the splice points and the overlaps that were needed."""
     n, a, end = len(text), 0, min(chunk, len(text))
     left, skip, total = encode(text[:end]), 0, 0
     while end < n:
@@ -253,14 +384,19 @@ def resync_count(text: str, encode: Callable, chunk: int = CHUNK, overlap: int =
                 end = min(end + (end - a), n)
                 left = encode(text[a:end])
                 if end == n:
-                    return total + len(left[0]) - skip
+                    return total + _tokens(left, skip, len(left[0]))
                 width = min(overlap, end - a - 1)
         i, j = found
-        total += i - skip
+        total += _tokens(left, skip, i)
         if seen is not None:
             seen.append((int(left[1][i]) + a, width))
         a, end, left, skip = c, right_end, right, j
-    return total + len(left[0]) - skip
+    return total + _tokens(left, skip, len(left[0]))
+
+
+def _tokens(part, first: int, end: int) -> int:
+    """Tokens of a chunk's items from ``first`` up to ``end``."""
+    return int(part[3][end] - part[3][first]) if len(part) > 3 else end - first
 
 
 def _splice(left, right, a: int, c: int, last: int, skip: int) -> tuple[int, int] | None:

@@ -162,3 +162,56 @@ def test_selectors_against_plain_packing():
                     out.append(head[0])
                 rest = rest[len(head):]
         assert got.tolist() == want and escaped.tolist() == out
+
+
+class Watched:
+    """A tokenizer that notes how many characters its whole way of encoding was given."""
+
+    def __init__(self, path: str):
+        self.tok, self.given = tokens.tokenizer(path), 0
+
+    def __getattr__(self, name):
+        return getattr(self.tok, name)
+
+    def encode_batch_fast(self, texts, **how):
+        self.given += sum(map(len, texts))
+        return self.tok.encode_batch_fast(texts, **how)
+
+    def encode(self, text, **how):
+        self.given += len(text)
+        return self.tok.encode(text, **how)
+
+
+SPACED = ["a  b\t\n c<|endoftext|>d <|endoftext|> x.. y,<|endo", "x\x1cy !\x1c z", " ", "\n\n", "a  b's it's ' s", "z  ", "", "a b  c ᠎ d",
+       "\x85 q\x85r", "don't STOP... ,;now !?", "café naïve текст, σοφός. é 你好", "word " * 5000,
+       "\n\n  word,  other" * 2000, "x" * 20000, "ab<|endoftext|> " * 1500, "one\x1ctwo " * 2500]
+
+
+@pytest.mark.parametrize("keep", [3, 200_000])
+def test_units_count_as_whole_texts(keep):
+    counter = tokens.Counter(BYTES)
+    counter.units = tokens.Units(BYTES, keep)
+    assert counter.units.apart and counter.units.word
+    for _ in range(2):
+        assert counter.counts(SPACED).tolist() == [len(library(BYTES, t)) for t in SPACED]
+    assert len(counter.units.new) <= keep + 200 or keep > 3
+
+
+def test_the_library_sees_repeated_text_once(monkeypatch):
+    texts = ["some words, that come again and again. " * k for k in (5, 50, 800)]
+    want, watched = [len(library(BYTES, t)) for t in texts], Watched(BYTES)
+    monkeypatch.setattr(tokens, "tokenizer", lambda path: watched)
+    monkeypatch.setattr(tokens, "_loaded", {})
+    assert tokens.Counter(BYTES).counts(texts).tolist() == want
+    assert watched.given < 200
+
+
+def test_words_of_letters_go_to_the_model(monkeypatch):
+    pieces = [f"{a}{b}" for a in ("wort", "été", "текст", "σοφός") for b in ("abend", "ola", ",", "")]
+    want, watched = [library(WORDS, p) for p in pieces], Watched(WORDS)
+    monkeypatch.setattr(tokens, "tokenizer", lambda path: watched)
+    encoder = tokens.PieceEncoder(WORDS)
+    codes = encoder.codes(pieces)
+    got = [encoder.flat[encoder.first[c]:encoder.first[c] + encoder.n[c]].tolist() for c in codes]
+    assert got == want
+    assert watched.given < 60
