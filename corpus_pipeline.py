@@ -39,9 +39,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_id_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files' documents: id, place among all ids, number of ids, CRC-32."""
-    return simple8b.token_files(docs, tokens.library_path("word_bpe_49k.json"))
+    return simple8b.token_files(docs, tokens.library_path("word_bpe_49k.json"), keep=KEPT_WORDS)
 
 
+#: Words that the encoder keeps here, where the workers served other stages before.
+KEPT_WORDS = 200_000
+
 STAGES = [
     ("quality classifier", quality_classifier),
     ("SimHash near-dedup", simhash_near_dedup),

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchhouse.llm.common import slices, with_package
-from pitchhouse.llm.tokens import PieceEncoder, encoder_of
+from pitchhouse.llm.tokens import CACHE, PieceEncoder, encoder_of
 from pitchhouse.session import work_dir
 
 # Fixed values of the format: ids per word and bits per id, by selector (0: escape).
@@ -162,9 +162,9 @@ def _ids_of(encoder: PieceEncoder, texts: list[str], end_id: int) -> tuple[np.nd
 
 
 def write_ids(docs: DataFrame, path: str, target: str, end_id: int = 1, id_col: str = "doc_id",
-              text_col: str = "text", partitions: int | None = None) -> None:
+              text_col: str = "text", partitions: int | None = None, keep: int = CACHE) -> None:
     """Encode every text with the tokenizer at ``path`` and write the files to
-    ``target``.  Documents are dealt out by ranges of their id, so that shards
+    ``target``; a Python process keeps the ids of about ``keep`` words.  Documents are dealt out by ranges of their id, so that shards
     follow one another; equal ids are split further by text."""
     spark = docs.sparkSession
     with_package(spark)
@@ -175,7 +175,7 @@ def write_ids(docs: DataFrame, path: str, target: str, end_id: int = 1, id_col:
              .select("doc_id", "text", F.spark_partition_id().alias("shard")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seq = encoder_of(path), 0
+        encoder, seq = encoder_of(path, keep), 0
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
         shard = 0
 
@@ -234,8 +234,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
             .select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32"))
 
 
-def token_files(docs: DataFrame, path: str, end_id: int = 1, **cols: str) -> DataFrame:
+def token_files(docs: DataFrame, path: str, end_id: int = 1, keep: int = CACHE, **cols: str) -> DataFrame:
     """Write the files below the checkpoint folder and read them back."""
     target = work_dir(docs.sparkSession, "token-ids")
-    write_ids(docs, path, target, end_id, **cols)
+    write_ids(docs, path, target, end_id, keep=keep, **cols)
     return read_ids(docs.sparkSession, target)

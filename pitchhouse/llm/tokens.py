@@ -232,11 +232,12 @@ def _room(x: np.ndarray, need: int) -> np.ndarray:
     return out
 
 
-def encoder_of(path: str) -> PieceEncoder:
+def encoder_of(path: str, keep: int = CACHE) -> PieceEncoder:
     """The encoder of this Python process, with the pieces of earlier tasks."""
     key = (path, "pieces")
     if key not in _loaded:
         _loaded[key] = PieceEncoder(path)
+    _loaded[key].keep = keep
     _loaded[key].trim()
     return _loaded[key]
 

@@ -1,12 +1,14 @@
 """The registered queries against their SQL, and the pipeline against its stages one by one."""
 
 import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from pitchhouse.llm import decontam, mixing, quality, queries, simhash, simple8b, sql, tokens
-from pitchhouse.llm.common import table
+from pitchhouse.llm.common import SLICE_BYTES, table, with_package
 
 from tests.compare import diff
 
@@ -79,3 +81,23 @@ def test_stages_leave_clashing_columns_alone(spark):
         got = out.collect()
         assert got or name == "quality classifier"
         assert {tuple(r) for r in got} <= set(rows), name
+
+
+def test_python_tasks_are_given_batches_of_bounded_size(spark):
+    """Rows of long texts: a batch is closed by its bytes, whatever the session had set."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["bytes"])
+
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    with_package(spark)
+    long = spark.range(0, 40, 1, 1).select("id", F.repeat(F.lit("text "), 100_000).alias("text"))
+    assert max(r.bytes for r in long.mapInArrow(sizes, "bytes long").collect()) <= 2 * SLICE_BYTES
+
+
+def test_the_pipelines_encoder_keeps_fewer_words(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(corpus_pipeline.simple8b, "write_ids", lambda *a, **how: asked.update(how))
+    monkeypatch.setattr(corpus_pipeline.simple8b, "read_ids", lambda *a: None)
+    corpus_pipeline.token_id_output(spark, table(spark, SF, "documents"), SF)
+    assert asked["keep"] < tokens.CACHE
