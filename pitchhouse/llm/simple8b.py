@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,16 +48,21 @@ def encode_words(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     begin = np.arange(blocks) * BLOCK
     stop = np.minimum(begin + BLOCK, n)
-    pos = np.arange(n, dtype=np.int32)
-    left = np.repeat(stop, stop - begin).astype(np.int32) - pos
     # place in ``_BY_WIDTH`` of the fullest selector that is wide enough for each id
     need = _NEED[v.astype(np.int64)] if n and v.max() < len(_NEED) else np.searchsorted(_LIMITS, v, "right").astype(np.uint8)
     most = int(need.max(initial=0))
     best = np.full(n, _BY_WIDTH[most] if most < len(_BY_WIDTH) else 0, np.uint8)  # every id fits, or the escape
+    # the widest of each place's next 1, 2, 4, ... ids; a block's end is followed by none
+    reach = {1: np.zeros((blocks, BLOCK + 128), np.uint8)}
+    reach[1][:, :BLOCK] = np.append(need, np.zeros(blocks * BLOCK - n, np.uint8)).reshape(blocks, BLOCK)
+    for k in (1, 2, 4, 8, 16, 32):
+        reach[2 * k] = reach[k].copy()
+        np.maximum(reach[k][:, :-k], reach[k][:, k:], out=reach[2 * k][:, :-k])
     for i in range(most - 1, int(need.min(initial=0)) - 1, -1):  # fuller selectors overwrite
-        wide = np.append(np.flatnonzero(need > i), n).astype(np.int32)
-        upto = np.repeat(wide, np.diff(wide, prepend=np.int32(-1)))[:n]  # the next wider id
-        best[upto - pos >= np.minimum(left, np.int32(COUNTS[_BY_WIDTH[i]]))] = _BY_WIDTH[i]
+        count = int(COUNTS[_BY_WIDTH[i]])
+        k = min(64, 1 << (count.bit_length() - 1))
+        widest = np.maximum(reach[k][:, :BLOCK], reach[k][:, count - k:count - k + BLOCK]).ravel()[:n]
+        best[widest <= i] = _BY_WIDTH[i]
     live, at, steps = np.arange(blocks), begin, []
     while len(live):  # the first id of every word
         steps.append((live, at))
@@ -134,21 +140,32 @@ def unpack(image: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [d if k else None for d, k in zip(doc_ids.tolist(), known)], counts, decode_words(words, first, n, escaped)
 
 
-def words_of(text: str) -> list[str]:
-    """What stands between blanks, tabs and line ends."""
-    return [w for w in text.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") if w]
-
-
-def _ids_of(encoder: PieceEncoder, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def words_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """What stands between blanks, tabs and line ends: the distinct words, the number
+    of each text's words, and every word's place among the distinct ones."""
+    for white in "\t\n\r":
+        texts = pc.replace_substring(texts, white, " ")
+    found = pc.split_pattern(texts, " ")
+    words = found.flatten().dictionary_encode()
+    at, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+    n = pc.list_value_length(found).to_numpy()
+    if "" in distinct:  # next to white space, and empty texts
+        void = distinct.index("")
+        full = at != void
+        n = np.bincount(np.repeat(np.arange(len(n)), n)[full], minlength=len(n))
+        at = at[full]
+        at = at - (at > void)
+        del distinct[void]
+    return distinct, n, at
+
+
+def _ids_of(encoder: PieceEncoder, texts: pa.Array | list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(tokens of each text, all ids), each text followed by the end id.  The
     vocabulary's normaliser and splitter never join characters across white
-    space, so a text's ids are those of its words, one after the other."""
-    pieces, n_pieces = [], []
-    for t in texts:
-        found = words_of(t)
-        pieces += found
-        n_pieces.append(len(found))
-    codes = encoder.codes(pieces)
+    space, so a text's ids are those of its words, one after the other; words that
+    stand more than once are looked up once."""
+    distinct, n_pieces, at = words_of(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+    codes = encoder.codes(distinct, np.bincount(at, minlength=len(distinct)))[at]
     size = encoder.n[codes]
     owner = np.repeat(np.arange(len(texts)), n_pieces)
     counts = np.bincount(owner, size, len(texts)).astype(np.int64) + 1
@@ -191,9 +208,9 @@ def write_ids(docs: DataFrame, path: str, target: str, end_id: int = 1, id_col:
                                     pa.array([pack(who, counts, ids)], pa.binary())],
                                    names=["shard", "seq", "n_ids", "image"])
 
-        for who, texts, part in slices(batches, 1, 1 << 20):
+        for who, _, part in slices(batches, 1):
             shard = part.column(2)[0].as_py()
-            held.append((who, *_ids_of(encoder, texts, end_id)))
+            held.append((who, *_ids_of(encoder, pc.fill_null(part.column(1), ""), end_id)))
             encoder.trim()
             if sum(len(x[2]) for x in held) >= IMAGE_IDS:
                 yield image()

@@ -32,6 +32,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
+from operator import attrgetter
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -44,6 +45,8 @@ from pitchhouse.llm.common import slices, with_package
 CHUNK, OVERLAP, MARGIN = 16_384, 512, 64
 #: Marks at the end of a word, and the first letter beyond the Latin blocks.
 MARKS, LATIN_END = ".,;:!?", "\u0250"
+#: Marks that a piece-wise encoder cuts off the end of a word.
+ENDS = MARKS + "#$%&*+=@~^/|\\()[]{}<>\"-_"
 #: The first character beyond Latin, Greek, Cyrillic and Armenian.
 LETTERS_END = 0x590
 #: Pieces that an encoder keeps from one slice to the next.
@@ -55,6 +58,8 @@ UNIT, UNSURE = re.compile(r"\s*\S+|\s+"), re.compile("[\x1c-\x1f\u180e]")
 #: Units that a counter keeps in each of two generations, and the longest one kept.
 UNITS, LONGEST = 200_000, 64
 
+ID = attrgetter("id")
+
 _loaded: dict = {}
 
 
@@ -95,7 +100,7 @@ class PieceEncoder:
         starts = {t.content[:1] for t in self.tok.get_added_tokens_decoder().values()}
         self.alone = re.compile("[" + re.escape("".join(sorted(starts))) + "]") if starts else None
         folds = self.tok.normalizer is not None and self.tok.normalizer.normalize_str(ascii_uppercase) == ascii_lowercase
-        cuts = self.tok.pre_tokenizer is not None and [x for x, _ in self.tok.pre_tokenizer.pre_tokenize_str("ab" + MARKS)] == ["ab", MARKS]
+        cuts = self.tok.pre_tokenizer is not None and [x for x, _ in self.tok.pre_tokenizer.pre_tokenize_str("ab" + ENDS)] == ["ab", ENDS]
         self.parted = folds and cuts
         self.model, self.letters = self.tok.model, _letters(self.tok) if self.parted else {}
         self.word = re.compile("[" + "".join(map(chr, self.letters)) + "]+").fullmatch if self.letters else None
@@ -103,15 +108,18 @@ class PieceEncoder:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0  # the ids of all pieces, one after the other
         self.first, self.n, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))  # their place, number, uses
 
-    def codes(self, pieces: list[str]) -> np.ndarray:
-        """A code for each piece, valid until the next ``trim``."""
+    def codes(self, pieces: list[str], uses: np.ndarray | None = None) -> np.ndarray:
+        """A code for each piece, valid until the next ``trim``.  ``uses``: how often each
+        one stands, where ``pieces`` are distinct."""
         out = np.fromiter(map(self.code.get, pieces, repeat(-1)), np.int64, len(pieces))
         unknown = np.flatnonzero(out < 0).tolist()
         if unknown:
             missed = [pieces[i] for i in unknown]
             self._learn(list(dict.fromkeys(missed)))
             out[unknown] = np.fromiter(map(self.code.get, missed), np.int64, len(missed))
-        if len(out):
+        if uses is not None:
+            self.seen[out] += uses
+        elif len(out):
             self.seen[:len(self.code)] += np.bincount(out, minlength=len(self.code))
         return out
 
@@ -132,7 +140,7 @@ class PieceEncoder:
     def _compose(self, new: list[str]) -> None:
         """Learn ``new`` from their cores and marks."""
         lower = [p.lower() if p.isascii() else p for p in new]
-        bare = [p.rstrip(MARKS) for p in lower]
+        bare = [p.rstrip(ENDS) for p in lower]
         plain, own, parts = [], [], []
         for p, core, word in zip(new, lower, bare):
             if p == word:  # its own core
@@ -161,12 +169,12 @@ class PieceEncoder:
         if self.word:
             words, every, joined = [], joined, []
             for p in every:
-                (words if self.word(p) else joined).append(p)
+                (words if (p.isascii() and p.isalpha()) or self.word(p) else joined).append(p)
             for i in range(0, len(words), BATCH_PIECES):
                 part = words[i:i + BATCH_PIECES]
                 seen = [p if p.isascii() else p.translate(self.letters) for p in part]
-                ids = [[x.id for x in self.model.tokenize(p)] for p in seen]
-                self._put(part, np.fromiter(chain.from_iterable(ids), np.uint32), np.cumsum([len(x) for x in ids]))
+                found = list(map(self.model.tokenize, seen))
+                self._put(part, np.fromiter(map(ID, chain.from_iterable(found)), np.uint32), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
         for i in range(0, len(joined), BATCH_PIECES):
             part = joined[i:i + BATCH_PIECES]
             texts = [self.mark.join(part[k:k + JOINED]) for k in range(0, len(part), JOINED)]

@@ -215,3 +215,15 @@ def test_words_of_letters_go_to_the_model(monkeypatch):
     got = [encoder.flat[encoder.first[c]:encoder.first[c] + encoder.n[c]].tolist() for c in codes]
     assert got == want
     assert watched.given < 60
+
+
+def test_repeated_words_are_looked_up_once():
+    texts = ["a b\ta\r\nb  a", "", " \n", "b a!! c", "c"]
+    encoder, asked = tokens.PieceEncoder(WORDS), []
+    codes = encoder.codes
+    encoder.codes = lambda pieces, *uses: asked.append(list(pieces)) or codes(pieces, *uses)
+    counts, flat = simple8b._ids_of(encoder, texts, 1)
+    assert sorted(asked[0]) == ["a", "a!!", "b", "c"] and len(asked) == 1
+    assert encoder.seen[encoder.code["a"]] == 3 and encoder.seen[encoder.code["a!!"]] == 1
+    want = [[*tokens.tokenizer(WORDS).encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert counts.tolist() == [len(x) for x in want] and flat.tolist() == sum(want, [])
